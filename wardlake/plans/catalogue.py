@@ -14,10 +14,6 @@ from wardlake.operators.percentiles import with_exact_percentiles
 from wardlake.operators.profile import completeness_of
 from wardlake.schema import AGE_ORDER, NO_PROCEDURE, SEVERITY_ORDER, UNKNOWN_GENDER
 
-CHARGES = F.avg("total_charges")
-STAY = F.avg("length_of_stay")
-
-
 def _present(d: DataFrame, *names: str) -> DataFrame:
     for name in names:
         d = d.filter(F.col(name).isNotNull())
@@ -52,8 +48,8 @@ def county_volume(d: DataFrame, k: int = 20) -> DataFrame:
         .groupBy("hospital_county")
         .agg(
             F.count("*").alias("patient_count"),
-            CHARGES.alias("avg_charges"),
-            STAY.alias("avg_length_of_stay"),
+            F.avg("total_charges").alias("avg_charges"),
+            F.avg("length_of_stay").alias("avg_length_of_stay"),
         )
         .orderBy(F.desc("patient_count"), "hospital_county")
         .limit(k)
@@ -66,7 +62,7 @@ def county_cost_stats(d: DataFrame, min_cases: int = 100, k: int = 15) -> DataFr
         charged.groupBy("hospital_county")
         .agg(
             F.count("*").alias("cases"),
-            CHARGES.alias("avg_cost"),
+            F.avg("total_charges").alias("avg_cost"),
             F.min("total_charges").alias("min_cost"),
             F.max("total_charges").alias("max_cost"),
             F.stddev_samp("total_charges").alias("cost_variance"),
@@ -84,7 +80,7 @@ def common_diagnoses(d: DataFrame, k: int = 20) -> DataFrame:
     return (
         _present(d, "ccs_diagnosis_description", "total_charges", "length_of_stay")
         .groupBy("ccs_diagnosis_description")
-        .agg(F.count("*").alias("case_count"), CHARGES.alias("avg_cost"), STAY.alias("avg_stay"))
+        .agg(F.count("*").alias("case_count"), F.avg("total_charges").alias("avg_cost"), F.avg("length_of_stay").alias("avg_stay"))
         .orderBy(F.desc("case_count"), "ccs_diagnosis_description")
         .limit(k)
     )
@@ -94,7 +90,7 @@ def costly_diagnoses(d: DataFrame, min_cases: int = 50, k: int = 15) -> DataFram
     charged = _present(d, "ccs_diagnosis_description").filter(F.col("total_charges") > 0)
     ranked = (
         charged.groupBy("ccs_diagnosis_description")
-        .agg(F.count("*").alias("case_count"), CHARGES.alias("avg_cost"), STAY.alias("avg_stay"))
+        .agg(F.count("*").alias("case_count"), F.avg("total_charges").alias("avg_cost"), F.avg("length_of_stay").alias("avg_stay"))
         .filter(F.col("case_count") >= min_cases)
         .orderBy(F.desc("avg_cost"), "ccs_diagnosis_description")
         .limit(k)
@@ -114,7 +110,7 @@ def age_profile(d: DataFrame) -> DataFrame:
         _present(d, "age_group", "total_charges", "length_of_stay")
         .groupBy("age_group")
         .agg(
-            F.count("*").alias("patient_count"), CHARGES.alias("avg_charges"), STAY.alias("avg_stay")
+            F.count("*").alias("patient_count"), F.avg("total_charges").alias("avg_charges"), F.avg("length_of_stay").alias("avg_stay")
         )
     )
     return _share_of_all(groups, "patient_count").orderBy(
@@ -129,8 +125,8 @@ def gender_profile(d: DataFrame) -> DataFrame:
         .groupBy("gender")
         .agg(
             F.count("*").alias("cases"),
-            CHARGES.alias("avg_charges"),
-            STAY.alias("avg_stay"),
+            F.avg("total_charges").alias("avg_charges"),
+            F.avg("length_of_stay").alias("avg_stay"),
             F.count_if(extreme).alias("extreme_cases"),
         )
         .orderBy(F.desc("cases"), "gender")
@@ -141,7 +137,7 @@ def severity_distribution(d: DataFrame) -> DataFrame:
     groups = (
         _present(d, "apr_severity_of_illness_description")
         .groupBy(F.col("apr_severity_of_illness_description").alias("severity"))
-        .agg(F.count("*").alias("case_count"), CHARGES.alias("avg_cost"), STAY.alias("avg_stay"))
+        .agg(F.count("*").alias("case_count"), F.avg("total_charges").alias("avg_cost"), F.avg("length_of_stay").alias("avg_stay"))
     )
     return _share_of_all(groups, "case_count").orderBy(
         rank_of(F.col("severity"), SEVERITY_ORDER), "severity"
@@ -154,8 +150,8 @@ def mortality_risk(d: DataFrame) -> DataFrame:
         .groupBy(F.col("apr_risk_of_mortality").alias("mortality_risk"))
         .agg(
             F.count("*").alias("cases"),
-            CHARGES.alias("avg_charges"),
-            STAY.alias("avg_stay"),
+            F.avg("total_charges").alias("avg_charges"),
+            F.avg("length_of_stay").alias("avg_stay"),
             F.count_if(F.col("length_of_stay") > 10).alias("long_stay_cases"),
         )
         .orderBy(rank_of(F.col("mortality_risk"), SEVERITY_ORDER), "mortality_risk")
@@ -169,7 +165,7 @@ def payment_mix(d: DataFrame, k: int = 20) -> DataFrame:
     order = [F.desc("cases"), "type_of_admission", "primary_payment"]
     ranked = (
         paid.groupBy("type_of_admission", "primary_payment")
-        .agg(F.count("*").alias("cases"), CHARGES.alias("avg_charges"))
+        .agg(F.count("*").alias("cases"), F.avg("total_charges").alias("avg_charges"))
         .orderBy(*order)
         .limit(k)
     )
@@ -190,8 +186,8 @@ def common_procedures(d: DataFrame, k: int = 15) -> DataFrame:
         .groupBy("ccs_procedure_description")
         .agg(
             F.count("*").alias("procedure_count"),
-            CHARGES.alias("avg_cost"),
-            STAY.alias("avg_stay"),
+            F.avg("total_charges").alias("avg_cost"),
+            F.avg("length_of_stay").alias("avg_stay"),
         )
         .orderBy(F.desc("procedure_count"), "ccs_procedure_description")
         .limit(k)
@@ -202,7 +198,7 @@ def cost_outliers(d: DataFrame, sigmas: float = 3.0, k: int = 20) -> DataFrame:
     """Dearest cases beyond mean + n sigma; the threshold is a scalar subquery, not a join."""
     threshold = (
         d.filter(F.col("total_charges") > 0)
-        .agg((CHARGES + F.lit(sigmas) * F.stddev_samp("total_charges")).alias("threshold"))
+        .agg((F.avg("total_charges") + F.lit(sigmas) * F.stddev_samp("total_charges")).alias("threshold"))
         .scalar()
     )
     return (
@@ -228,8 +224,8 @@ def county_efficiency(d: DataFrame, min_cases: int = 100) -> DataFrame:
         .groupBy("hospital_county")
         .agg(
             F.count("*").alias("volume"),
-            CHARGES.alias("avg_cost"),
-            STAY.alias("avg_stay"),
+            F.avg("total_charges").alias("avg_cost"),
+            F.avg("length_of_stay").alias("avg_stay"),
             F.avg(F.when(minor, 1.0).otherwise(0.0)).alias("minor_rate"),
         )
         .filter(F.col("volume") >= min_cases)
@@ -263,7 +259,7 @@ def yearly_admissions(d: DataFrame) -> DataFrame:
         _present(d, "discharge_year")
         .groupBy("discharge_year")
         .agg(
-            F.count("*").alias("admissions"), CHARGES.alias("avg_charges"), STAY.alias("avg_stay")
+            F.count("*").alias("admissions"), F.avg("total_charges").alias("avg_charges"), F.avg("length_of_stay").alias("avg_stay")
         )
         .orderBy("discharge_year")
     )

@@ -1,21 +1,142 @@
-"""Relations the registered queries start from, built from the given tables."""
+"""Relations the registered queries start from, built by Spark from the given tables.
+
+Tables that several queries share are written once per application to the shared folder and read
+back, so an executor that is lost takes no intermediate result with it.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wardlake.plans.discharges import discharges
+from wardlake.models.registry import load_models, save_model
+from wardlake.models.training import train_all
+from wardlake.plans.discharges import discharges, raw_discharges, table
 from wardlake.session import scratch_path
+from wardlake.sources.lake import export_csv
+from wardlake.sources.messages import read_stream, to_messages, write_messages
 from wardlake.sources.zones import read_processed, write_processed
+from wardlake.streaming.ingest import ingest
+
+# One request body per discharge, as JSON: some without a group code, some with a code in quotes,
+# supplied texts, explicit nulls, unreadable weights, and always a key nobody knows.
+REQUEST_SQL = """
+SELECT
+  record_id AS request_id,
+  '{{"ticket": ' || CAST(record_id AS VARCHAR(20))
+  || CASE WHEN record_id % 13 = 0 THEN '' WHEN record_id % 17 = 0 THEN ', "drg_code": "' || apr_drg_code || '"'
+          WHEN record_id % 19 = 0 THEN ', "drg_code": null' ELSE ', "drg_code": ' || apr_drg_code END
+  || CASE WHEN apr_severity_of_illness_code IS NULL THEN ''
+          ELSE ', "severity_code": ' || apr_severity_of_illness_code END
+  || CASE WHEN record_id % 5 = 0 THEN ', "age_group": "' || age_group || '"' ELSE '' END
+  || CASE WHEN record_id % 3 = 0 THEN ', "race": ' || COALESCE('"' || race || '"', 'null') ELSE '' END
+  || CASE WHEN record_id % 9 = 0 THEN ', "drg_description": "As dictated"' ELSE '' END
+  || CASE WHEN record_id % 11 = 0 THEN ', "severity": "As charted", "mortality_risk": "As charted"' ELSE '' END
+  || CASE WHEN record_id % 8 = 3 THEN ', "birth_weight": ' || birth_weight
+          WHEN record_id % 8 = 4 THEN ', "birth_weight": "abc"' ELSE '' END
+  || CASE WHEN record_id % 10 = 0 THEN ', "gender": "' || gender || '"' ELSE '' END
+  || CASE WHEN record_id % 7 = 0 THEN ', "county": "' || hospital_county || '"' ELSE '' END
+  || '}}' AS body
+FROM {discharges}
+"""
+
+MESSAGE_FILES = 4
+TOPIC = "discharges"
+
+
+def once_per_application(build: Callable) -> Callable:
+    """Remember the result of build(spark, sf_dir) for as long as the application runs."""
+    results: dict[tuple[str, str], object] = {}
 
-_processed: dict[tuple[str, str], str] = {}
+    @wraps(build)
+    def cached(spark: SparkSession, sf_dir: str):
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in results:
+            results[key] = build(spark, sf_dir)
+        return results[key]
+
+    return cached
+
+
+@once_per_application
+def processed_base(spark: SparkSession, sf_dir: str) -> str:
+    base = scratch_path(spark, "zone")
+    write_processed(discharges(spark, sf_dir), base)
+    return base
 
 
 def processed_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The processed zone of `sf_dir`, written once per application to the shared folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _processed:
-        base = scratch_path(spark, "zone")
-        write_processed(discharges(spark, sf_dir), base)
-        _processed[key] = base
-    return read_processed(spark, _processed[key])
+    return read_processed(spark, processed_base(spark, sf_dir))
+
+
+@once_per_application
+def lake_files(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """The raw relation as CSV, JSON Lines and Parquet files; folder by format."""
+    base = scratch_path(spark, "lake")
+    raw = raw_discharges(spark, sf_dir)
+    export_csv(raw, f"{base}/discharges.csv")
+    raw.write.option("ignoreNullFields", False).json(f"{base}/discharges.json")
+    raw.write.parquet(f"{base}/discharges.parquet")
+    return {fmt: f"{base}/discharges.{fmt}" for fmt in ("csv", "json", "parquet")} | {"base": base}
+
+
+def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table in the shape of broker messages."""
+    return table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("key"),
+        F.col("props").alias("value"),
+        F.lit("events").alias("topic"),
+        (F.col("event_id") % 3).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"),
+        F.col("ts").alias("timestamp"),
+    )
+
+
+def damaged_event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event messages of which some lost the end of their JSON text on the way."""
+    cut = F.expr("substring(value, 1, length(value) - 1)")
+    return event_messages(spark, sf_dir).withColumn(
+        "value", F.when(F.col("offset") % 40 == 0, cut).otherwise(F.col("value"))
+    )
+
+
+@once_per_application
+def ingested_base(spark: SparkSession, sf_dir: str) -> str:
+    """All discharges sent as messages, some damaged, and ingested by a drained stream."""
+    base = scratch_path(spark, "ingest")
+    number = F.substring_index("key", "_", -1).cast("bigint")
+    cut = F.expr("substring(value, 1, length(value) - 1)")
+    sent = to_messages(raw_discharges(spark, sf_dir)).select(
+        "key",
+        F.when(number % 101 == 100, cut).otherwise(F.col("value")).alias("value"),
+        F.lit(TOPIC).alias("topic"),
+        (number % 3).cast("int").alias("partition"),
+        number.alias("offset"),
+        F.timestamp_seconds(number + 1_704_067_200).alias("timestamp"),
+    )
+    write_messages(sent.repartition(MESSAGE_FILES, "key"), TOPIC, "parquet", path=f"{base}/{TOPIC}")
+    messages = read_stream(spark, "parquet", path=f"{base}/{TOPIC}", maxFilesPerTrigger="1")
+    ingest(messages, base, drain=True).awaitTermination()
+    return base
+
+
+def request_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(REQUEST_SQL, discharges=raw_discharges(spark, sf_dir))
+
+
+@once_per_application
+def trained_base(spark: SparkSession, sf_dir: str):
+    """Models of all targets, saved to a registry; returns its folder and the training scores."""
+    base = scratch_path(spark, "models")
+    trained = train_all(processed_zone(spark, sf_dir))
+    for result in trained:
+        save_model(spark, result, base)
+    return base, trained
+
+
+def saved_models(spark: SparkSession, sf_dir: str):
+    base, _ = trained_base(spark, sf_dir)
+    return load_models(spark, base)
