@@ -92,10 +92,12 @@ def with_exact_percentiles(
         )
     )
 
+    # Laid out by group once, which serves both the running count and the final aggregate.
     counted = (
         values.join(side(targets), same_group() & F.expr("_v BETWEEN _low AND _high"))
         .groupBy(*columns, "_name", "_edge", "_weight", "_rank", "_v")
         .agg(F.count("*").alias("_n"))
+        .repartition(*keys)
     )
     slice_order = (
         Window.partitionBy(*keys, "_name", "_edge")

@@ -14,6 +14,7 @@ from wardlake.operators.percentiles import with_exact_percentiles
 from wardlake.operators.profile import completeness_of
 from wardlake.schema import AGE_ORDER, NO_PROCEDURE, SEVERITY_ORDER, UNKNOWN_GENDER
 
+
 def _present(d: DataFrame, *names: str) -> DataFrame:
     for name in names:
         d = d.filter(F.col(name).isNotNull())

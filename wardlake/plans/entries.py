@@ -89,12 +89,8 @@ def lake_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def main_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records of the largest CSV file; the scratch folder holds the relation split by gender."""
-    base = scratch_path(spark, "main")
-    raw = raw_discharges(spark, sf_dir)
-    for gender in ("F", "U"):
-        lake.export_csv(raw.filter(F.col("gender") == gender).coalesce(1), f"{base}/{gender}")
-    path = lake.pick_main_file(spark, base).first()["path"]
+    """Facts of the largest CSV file of the lake."""
+    path = lake.pick_main_file(spark, inputs.lake_files(spark, sf_dir)["base"]).first()["path"]
     return file_facts(lake.read_lake(spark, path, "csv", RAW_SCHEMA))
 
 
@@ -129,6 +125,11 @@ def ingest_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.manifest_totals(manifest).drop("last_batch_time")
 
 
+def stream_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    timeline = reports.read_timeline(spark, inputs.timeline_base(spark, sf_dir))
+    return timeline.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
 def success_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches of 100 events, of which the CSV copy failed where a batch held an error event."""
     numbered = numbering.number_records(table(spark, sf_dir, "events"), "event_id")
@@ -424,6 +425,7 @@ QUERIES: dict[str, Query] = {
     "freshness_report": over_events(
         lambda e: reports.freshness_report(e, "user_id", "ts", F.col("event_type") == "error")
     ),
+    "stream_timeline": stream_timeline,
     "corrupt_split": corrupt_split,
     "success_rate": success_rate,
     "ingested_json": ingested_records("json"),

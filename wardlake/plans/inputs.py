@@ -19,6 +19,7 @@ from wardlake.session import scratch_path
 from wardlake.sources.lake import export_csv
 from wardlake.sources.messages import read_stream, to_messages, write_messages
 from wardlake.sources.zones import read_processed, write_processed
+from wardlake.streaming import reports
 from wardlake.streaming.ingest import ingest
 
 # One request body per discharge, as JSON: some without a group code, some with a code in quotes,
@@ -123,6 +124,20 @@ def ingested_base(spark: SparkSession, sf_dir: str) -> str:
     return base
 
 
+@once_per_application
+def timeline_base(spark: SparkSession, sf_dir: str) -> str:
+    """The events sent as messages and counted per hour by a drained stream.
+
+    Any file may hold any time of the month the events span, hence the generous lateness.
+    """
+    base = scratch_path(spark, "timeline")
+    sent = event_messages(spark, sf_dir).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    write_messages(sent.repartition(MESSAGE_FILES, "offset"), "events", "parquet", path=f"{base}/events")
+    messages = read_stream(spark, "parquet", path=f"{base}/events", maxFilesPerTrigger="1")
+    reports.stream_timeline(messages, base, "timestamp", late="60 days").awaitTermination()
+    return base
+
+
 def request_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(REQUEST_SQL, discharges=raw_discharges(spark, sf_dir))
 

@@ -306,7 +306,6 @@ ORACLES: dict[str, str] = {
         )
     },
     "lake_union": _raw(_file_facts("(SELECT * FROM raw UNION ALL SELECT * FROM raw) AS both_files")),
-    "main_file": _raw(_file_facts(where="WHERE gender = 'F'")),
     "sanitise": (
         "SELECT event_id, CASE WHEN event_id % 50 = 0 OR event_id % 77 = 0 OR event_id % 91 = 0 "
         "THEN NULL ELSE ROUND(value, 4) END AS value FROM events"
@@ -368,6 +367,10 @@ ORACLES: dict[str, str] = {
         "(SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, COUNT(*) AS messages "
         "FROM events GROUP BY 1)"
     ),
+    "stream_timeline": (
+        "SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, COUNT(*) AS messages "
+        "FROM events GROUP BY 1"
+    ),
     "freshness_report": (
         "SELECT user_id, messages, last_message_time, errors, ROUND(age, 4) AS age_seconds, "
         "CASE WHEN age < 30 THEN 'Active' ELSE CAST(CAST(FLOOR(age) AS BIGINT) AS VARCHAR) || 's ago' "
@@ -427,4 +430,14 @@ ORACLES: dict[str, str] = {
         "ELSE 'drg_code is required' END AS error FROM requests"
     ),
     "smart_fill": _smart_fill(),
+    # one entry per category and per number that is not 0; each category has a slot for the unseen
+    "feature_rows": _d(
+        "SELECT record_id, CAST("
+        + " + ".join(
+            f"(SELECT COUNT(DISTINCT COALESCE({c}, 'Unknown')) + 1 FROM d)" for c in CATEGORICALS
+        )
+        + f" + {len(NUMERIC_FEATURES)} AS INT) AS features, CAST({len(CATEGORICALS)}"
+        + "".join(f" + CASE WHEN COALESCE({c}, 0) <> 0 THEN 1 ELSE 0 END" for c in NUMERIC_FEATURES)
+        + " AS INT) AS entries FROM d"
+    ),
 }

@@ -47,3 +47,9 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder name under the shared folder, never reused between runs."""
     return f"{shared_dir(spark)}/wardlake/{label}-{uuid.uuid4().hex}"
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Give the context a checkpoint folder where the cluster has not set one."""
+    if not spark.conf.get(CHECKPOINT_CONF, None):
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))

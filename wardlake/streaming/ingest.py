@@ -36,41 +36,38 @@ def write_batch(
     at: dt.datetime | None = None,
     error_count: int = 0,
 ) -> None:
-    """Write one batch as JSON Lines and CSV with a manifest row. Empty batches leave no trace."""
+    """Write one batch as JSON Lines and CSV with a manifest row. Empty batches leave no trace.
+
+    The records are read twice; persist them first if they are costly to compute.
+    """
     at = at or dt.datetime.now(dt.timezone.utc)
-    spark = records.sparkSession
-    records = records.persist()
+    if records.isEmpty() and not error_count:
+        return
+    seen = Observation(f"batch_{batch_id}")
+    json_path = batch_folder("json", batch_id, at)
+    csv_path = batch_folder("csv", batch_id, at)
+    counted = records.observe(seen, F.count("*").alias("rows"))
+    counted.write.mode("overwrite").option("ignoreNullFields", False).json(f"{base}/{json_path}")
     try:
-        if records.isEmpty() and not error_count:
-            return
-        seen = Observation(f"batch_{batch_id}")
-        json_path = batch_folder("json", batch_id, at)
-        csv_path = batch_folder("csv", batch_id, at)
-        records.observe(seen, F.count("*").alias("rows")).write.mode("overwrite").option(
-            "ignoreNullFields", False
-        ).json(f"{base}/{json_path}")
-        try:
-            export_csv(records, f"{base}/{csv_path}")
-            csv_saved = True
-        except Exception as error:  # the JSON copy is the one that counts
-            logger.warning("batch %s has no CSV copy: %s", batch_id, error)
-            csv_saved = False
-        manifest = (
-            str(batch_id),
-            seen.get["rows"],
-            error_count,
-            at,
-            json_path,
-            csv_path,
-            csv_saved,
-            DATA_SOURCE,
-            SCHEMA_VERSION,
-        )
-        spark.createDataFrame([manifest], MANIFEST_SCHEMA).drop("batch_id").coalesce(1).write.mode(
-            "overwrite"
-        ).json(f"{base}/raw/manifest/batch_id={batch_id}")
-    finally:
-        records.unpersist()
+        export_csv(records, f"{base}/{csv_path}")
+        csv_saved = True
+    except Exception as error:  # the JSON copy is the one that counts
+        logger.warning("batch %s has no CSV copy: %s", batch_id, error)
+        csv_saved = False
+    manifest = (
+        str(batch_id),
+        seen.get["rows"],
+        error_count,
+        at,
+        json_path,
+        csv_path,
+        csv_saved,
+        DATA_SOURCE,
+        SCHEMA_VERSION,
+    )
+    # the folder name carries the batch id
+    row = records.sparkSession.createDataFrame([manifest], MANIFEST_SCHEMA).drop("batch_id")
+    row.coalesce(1).write.mode("overwrite").json(f"{base}/raw/manifest/batch_id={batch_id}")
 
 
 def ingest(

@@ -57,6 +57,38 @@ def rate_timeline(messages: DataFrame, ts: str, width: str = "1 hour") -> DataFr
     )
 
 
+def stream_timeline(
+    messages: DataFrame, base: str, ts: str, width: str = "1 hour", late: str = "1 hour"
+) -> StreamingQuery:
+    """Start windowed counting of a message stream, drained to a table below `base`.
+
+    Every micro-batch writes the windows it changed; read_timeline takes the newest count of each.
+    Messages more than `late` behind the newest one are no longer counted.
+    """
+
+    def write(changed: DataFrame, batch_id: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{base}/timeline/batch_id={batch_id}")
+
+    timed = messages.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late)
+    return (
+        windowed_counts(timed, ts, width)
+        .writeStream.outputMode("update")
+        .foreachBatch(write)
+        .option("checkpointLocation", f"{base}/_timeline")
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def read_timeline(spark: SparkSession, base: str) -> DataFrame:
+    """Windows written by stream_timeline; counts only grow, so the largest is the newest."""
+    return (
+        spark.read.parquet(f"{base}/timeline")
+        .groupBy("window_start")
+        .agg(F.max("messages").alias("messages"))
+    )
+
+
 def freshness_report(messages: DataFrame, key: str, ts: str, is_error) -> DataFrame:
     """Per stream key: newest message, its age against the newest of all, errors and health."""
     newest = messages.agg(F.max(ts).alias("newest")).scalar()
