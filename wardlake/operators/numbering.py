@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Consecutive ids that share a block; a block holds at most this many rows.
-BLOCK = 1 << 20
+BLOCK = 1 << 16
 
 
 def number_records(

@@ -47,72 +47,59 @@ def null_profile(df: DataFrame) -> DataFrame:
     )
 
 
-def distinct_counts(df: DataFrame) -> DataFrame:
-    """Exact distinct values per column.
-
-    Columns of one type are unpivoted together into (field, value) pairs. Repeated pairs collapse
-    before the shuffle, and the shuffle spreads over the values instead of over the fields.
-    """
-    families: dict[str, list[str]] = {}
-    for field in df.schema:
-        families.setdefault(field.dataType.simpleString(), []).append(field.name)
-    return reduce(
-        DataFrame.unionAll,
-        [
-            df.select(*names)
-            .unpivot([], names, "field_name", "value")
-            .distinct()
-            .groupBy("field_name")
-            .agg(F.count("value").alias("distinct_values"))
-            for names in families.values()
-        ],
-    )
-
-
 def column_profile(df: DataFrame) -> DataFrame:
     """Type, counts, extremes, mean and spread of every column.
 
-    Text extremes and numeric extremes are separate columns, so numbers are not compared as text.
+    Columns of one type are unpivoted together into (field, value) pairs and counted per distinct
+    value. Repeated pairs collapse before the shuffle, and the shuffle spreads over the values
+    instead of over the fields. Text extremes and numeric extremes are separate columns, so
+    numbers are not compared as text.
     """
-    text_measures = {"min_text": F.min, "max_text": F.max}
-    number_measures = {
-        "min_number": lambda c: F.min(c).cast("double"),
-        "max_number": lambda c: F.max(c).cast("double"),
-        "mean": F.avg,
-        "stddev": F.stddev_samp,
-    }
-
-    def applicable(field: T.StructField) -> dict:
-        if isinstance(field.dataType, T.StringType):
-            return text_measures
-        return number_measures if isinstance(field.dataType, T.NumericType) else {}
-
-    wide = df.agg(
-        F.count("*").alias("total"),
-        *[F.count(f).alias(f"{f}|non_null") for f in df.columns],
-        *[
-            measure(F.col(f.name)).alias(f"{f.name}|{m}")
-            for f in df.schema
-            for m, measure in applicable(f).items()
-        ],
+    families: dict[str, list[str]] = {}
+    for name, kind in df.dtypes:
+        families.setdefault(kind, []).append(name)
+    profiles = reduce(
+        DataFrame.unionByName, [_profile_family(df.select(*names)) for names in families.values()]
+    )
+    fields = df.sparkSession.createDataFrame(df.dtypes, "field_name string, data_type string")
+    counts = ["total_records", "non_null_records", "distinct_values"]
+    return (
+        fields.join(profiles, "field_name", "left")
+        .withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in counts})
+        .orderBy("field_name")
     )
 
-    def entry(field: T.StructField):
-        def value(name: str, kind: str):
-            known = name in applicable(field)
-            return (F.col(f"`{field.name}|{name}`") if known else F.lit(None)).cast(kind).alias(name)
 
-        return F.struct(
-            F.lit(field.name).alias("field_name"),
-            F.lit(field.dataType.simpleString()).alias("data_type"),
-            F.col("total").alias("total_records"),
-            F.col(f"`{field.name}|non_null`").alias("non_null_records"),
-            *[value(m, "string") for m in text_measures],
-            *[value(m, "double") for m in number_measures],
+def _profile_family(df: DataFrame) -> DataFrame:
+    """Profile of columns that share one type."""
+    numeric = isinstance(df.schema[0].dataType, T.NumericType)
+    pairs = df.unpivot([], df.columns, "field_name", "value")
+    value, no_text, no_number = F.col("value"), F.lit(None).cast("string"), F.lit(None).cast("double")
+    profile = (
+        pairs.groupBy("field_name", "value")
+        .agg(F.count("*").alias("n"))
+        .groupBy("field_name")
+        .agg(
+            F.sum("n").alias("total_records"),
+            F.sum(F.when(value.isNotNull(), F.col("n")).otherwise(0)).alias("non_null_records"),
+            F.count("value").alias("distinct_values"),
+            F.min("value").alias("lowest"),
+            F.max("value").alias("highest"),
         )
-
-    return (
-        wide.select(F.inline(F.array(*[entry(field) for field in df.schema])))
-        .join(distinct_counts(df), "field_name")
-        .orderBy("field_name")
+        .select(
+            "field_name",
+            "total_records",
+            "non_null_records",
+            "distinct_values",
+            (no_text if numeric else F.col("lowest").cast("string")).alias("min_text"),
+            (no_text if numeric else F.col("highest").cast("string")).alias("max_text"),
+            (F.col("lowest").cast("double") if numeric else no_number).alias("min_number"),
+            (F.col("highest").cast("double") if numeric else no_number).alias("max_number"),
+        )
+    )
+    if not numeric:
+        return profile.withColumns({"mean": no_number, "stddev": no_number})
+    moments = pairs.groupBy("field_name").agg(
+        F.avg("value").alias("mean"), F.stddev_samp("value").alias("stddev")
     )
+    return profile.join(moments, "field_name")

@@ -161,13 +161,9 @@ def corrupt_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def message_payloads(raw: DataFrame) -> DataFrame:
     """Messages, with some fields read back from their JSON value."""
-
-    def field(name: str):
-        return F.get_json_object("value", f"$.{name}").alias(name)
-
-    return messages.to_messages(raw).select(
-        "key", field("record_id"), field("hospital_county"), field("race"), field("total_charges")
-    )
+    fields = "record_id string, hospital_county string, race string, total_charges string"
+    sent = messages.to_messages(raw)
+    return sent.select("key", F.from_json("value", fields).alias("f")).select("key", "f.*")
 
 
 def sanitised(events: DataFrame) -> DataFrame:

@@ -16,10 +16,10 @@ CORRUPT = "_corrupt_record"
 
 def to_messages(df: DataFrame, order: str = "record_id") -> DataFrame:
     """Key record_{n}, counted from zero in the order of `order`; value a JSON object with nulls."""
-    value = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
-    numbered = number_records(df.select(order, value.alias("value")), order)
-    return numbered.select(
-        F.concat(F.lit("record_"), F.col("record_no").cast("string")).alias("key"), "value"
+    # numbered before encoding: the text is larger than the columns that would be shuffled
+    return number_records(df, order, "_number").select(
+        F.concat(F.lit("record_"), F.col("_number").cast("string")).alias("key"),
+        F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"),
     )
 
 
