@@ -5,23 +5,25 @@ from wardlake.operators.numbering import count_batches, number_records, recent
 from wardlake.sources.messages import to_messages
 
 
-@pytest.mark.parametrize("block", [7, 1 << 20])
-def test_dense_numbers_whatever_the_block(spark, block):
+@pytest.mark.parametrize("bits", [(3, 2), (16, 24)])
+def test_dense_numbers_whatever_the_blocks(spark, bits):
     ids = [3 * i + (i % 2) for i in range(500)]
     df = spark.createDataFrame([(i,) for i in ids], "id bigint").repartition(6)
-    got = number_records(df, "id", block=block).orderBy("id").collect()
-    assert [r.record_no for r in got] == list(range(500))
+    got = number_records(df, "id", "n", *bits).orderBy("id").collect()
+    assert [r.n for r in got] == list(range(500))
 
 
-def test_negative_ids(spark):
-    df = spark.createDataFrame([(i,) for i in range(-25, 26, 5)], "id bigint")
-    got = number_records(df, "id", block=10).orderBy("id").collect()
-    assert [r.record_no for r in got] == list(range(11))
+@pytest.mark.parametrize("bits", [(2, 1), (16, 24)])
+def test_negative_and_widely_spread_ids(spark, bits):
+    ids = sorted({-(2**63), 2**63 - 1, 2**53, 2**53 + 1, *range(-25, 26, 5), *(2**k for k in range(60))})
+    df = spark.createDataFrame([(i,) for i in ids], "id bigint").repartition(4)
+    got = number_records(df, "id", "n", *bits).orderBy("id").collect()
+    assert [(r.id, r.n) for r in got] == list(zip(ids, range(len(ids))))
 
 
 def test_batch_sizes_add_up(spark):
     df = spark.range(1234)
-    batches = count_batches(df, "id", 100, block=64).orderBy("batch_no").collect()
+    batches = count_batches(df, "id", 100).orderBy("batch_no").collect()
     assert [b.record_count for b in batches] == [100] * 12 + [34]
     assert [b.first_id for b in batches] == [100 * i for i in range(13)]
 

@@ -2,32 +2,55 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-# Consecutive ids that share a block; a block holds at most this many rows.
-BLOCK = 1 << 16
+# Ids that agree above these low bits share a block, and blocks that agree above the next bits
+# share a range. No block holds more than 2^16 ids, no range more than 2^24 blocks, and 64-bit ids
+# have no more than 2^24 ranges: that bounds every single-task step below, whatever the ids are.
+BLOCK_BITS = 16
+RANGE_BITS = 24
 
 
 def number_records(
-    df: DataFrame, order: str, name: str = "record_no", block: int = BLOCK
+    df: DataFrame,
+    order: str,
+    name: str = "record_no",
+    block_bits: int = BLOCK_BITS,
+    range_bits: int = RANGE_BITS,
 ) -> DataFrame:
     """Add 0, 1, 2, ... in the order of `order`, a unique whole-number column.
 
-    Rows are numbered inside fixed id blocks in parallel; the blocks' start numbers come from a
-    running sum over block sizes, one row per block. Blocks are cut by arithmetic on the id, so
-    a recomputed task always lands on the same numbers.
+    Rows are numbered inside their id block in parallel. The blocks' start numbers come from
+    running sums over block sizes, first inside each range of blocks and then over the ranges.
+    Blocks are cut by the bits of the id, so a recomputed task always lands on the same numbers.
     """
-    block_of = F.floor(F.col(order) / F.lit(block))
-    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        df.groupBy(block_of.alias("_block"))
+
+    def running(rows: str, within: WindowSpec):
+        return F.coalesce(
+            F.sum(rows).over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+        )
+
+    block = F.shiftright(F.col(order).cast("bigint"), block_bits)
+    sizes = (
+        df.groupBy(block.alias("_block"))
         .agg(F.count("*").alias("_rows"))
-        .select("_block", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+        .withColumn("_range", F.shiftright("_block", range_bits))
+    )
+    ranges = (
+        sizes.groupBy("_range")
+        .agg(F.sum("_rows").alias("_rows"))
+        .select("_range", running("_rows", Window.orderBy("_range")).alias("_before"))
+    )
+    within_range = Window.partitionBy("_range").orderBy("_block")
+    starts = (
+        sizes.withColumn("_inside_range", running("_rows", within_range))
+        .join(ranges, "_range")
+        .select("_block", (F.col("_before") + F.col("_inside_range")).alias("_start"))
     )
     inside = F.row_number().over(Window.partitionBy("_block").orderBy(order)) - 1
     return (
-        df.withColumn("_block", block_of)
+        df.withColumn("_block", block)
         .withColumn("_inside", inside)
         .join(starts, "_block")
         .withColumn(name, F.col("_start") + F.col("_inside"))
@@ -35,10 +58,10 @@ def number_records(
     )
 
 
-def count_batches(df: DataFrame, order: str, size: int = 100, block: int = BLOCK) -> DataFrame:
+def count_batches(df: DataFrame, order: str, size: int = 100) -> DataFrame:
     """Manifest rows of a bounded replay cut into batches of exactly `size` rows."""
     return (
-        number_records(df, order, block=block)
+        number_records(df, order)
         .groupBy(F.floor(F.col("record_no") / size).alias("batch_no"))
         .agg(
             F.count("*").alias("record_count"),

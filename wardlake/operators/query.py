@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,10 +14,14 @@ from wardlake.sources.lake import read_lake
 # Result sizes when the caller names none, and the most one may ask for.
 DEFAULT_LIMIT = 1_000
 MAX_LIMIT = 10_000
+# A statement that ends in its own LIMIT; the word elsewhere in the text means nothing.
+OWN_LIMIT = re.compile(r"\blimit\s+\d+(\s+offset\s+\d+)?\s*;?\s*$", re.IGNORECASE)
 
 
-def _result(df: DataFrame, limit: int) -> DataFrame:
-    return sanitise(df).limit(min(limit, MAX_LIMIT))
+def _result(df: DataFrame, limit: int, sql: str | None = None) -> DataFrame:
+    """The caller's limit applies unless the statement sets its own; the maximum always does."""
+    own = sql is not None and OWN_LIMIT.search(sql)
+    return sanitise(df).limit(MAX_LIMIT if own else min(limit, MAX_LIMIT))
 
 
 def query_frame(
@@ -32,7 +37,7 @@ def query_frame(
     finally:
         # the analysed plan no longer needs the name
         source.sparkSession.catalog.dropTempView(name)
-    return _result(df, limit)
+    return _result(df, limit, sql)
 
 
 def query_file(
@@ -55,11 +60,11 @@ def create_view(
 def query_view(
     spark: SparkSession, name: str, sql: str | None = None, limit: int = DEFAULT_LIMIT
 ) -> DataFrame:
-    return _result(spark.table(name) if sql is None else spark.sql(sql), limit)
+    return _result(spark.table(name) if sql is None else spark.sql(sql), limit, sql)
 
 
 def run_sql(spark: SparkSession, sql: str, limit: int = DEFAULT_LIMIT) -> DataFrame:
-    return _result(spark.sql(sql), limit)
+    return _result(spark.sql(sql), limit, sql)
 
 
 def describe(

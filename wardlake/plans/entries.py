@@ -298,7 +298,7 @@ def free_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def default_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The cap holds although the text holds the word limit; the rows are counted."""
+    """The cap holds although the text has the word limit in it; the rows are counted."""
     processed = inputs.processed_zone(spark, sf_dir)
     capped = query.query_frame(processed, "SELECT record_id AS limit_id FROM {table};")
     clamped = query.query_frame(processed, "SELECT record_id FROM {table} LIMIT 50000", 50_000)

@@ -130,14 +130,16 @@ def has_enough_data(spark: SparkSession, base: str, min_files: int = 3) -> bool:
 
 
 def lake_inventory(spark: SparkSession, base: str) -> DataFrame:
-    """Files and bytes by format; placeholders are left out."""
+    """Files and bytes by zone (folder directly below `base`) and format, without placeholders."""
     suffix = F.regexp_extract("path", r"\.([A-Za-z0-9]+)$", 1)
+    below = F.substring_index("path", f"/{unquote(base).rstrip('/').rsplit('/', 1)[-1]}/", -1)
+    zone = F.when(below.contains("/"), F.substring_index(below, "/", 1))
     return (
         list_files(spark, base)
         .filter(~F.col("path").endswith(PLACEHOLDER_SUFFIX))
-        .groupBy(suffix.alias("format"))
+        .groupBy(zone.alias("zone"), suffix.alias("format"))
         .agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
-        .orderBy("format")
+        .orderBy("zone", "format")
     )
 
 
