@@ -72,5 +72,8 @@ def describe(
 ) -> DataFrame:
     """Column names and types of a file."""
     name = f"lake_{uuid.uuid4().hex}"
-    read_lake(spark, path, fmt, schema).createOrReplaceTempView(name)
-    return spark.sql(f"DESCRIBE QUERY SELECT * FROM {name}")
+    create_view(spark, name, path, fmt, schema)
+    try:
+        return spark.sql(f"DESCRIBE QUERY SELECT * FROM {name}").select("col_name", "data_type")
+    finally:
+        spark.catalog.dropTempView(name)

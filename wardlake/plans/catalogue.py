@@ -39,8 +39,16 @@ def year_range(d: DataFrame) -> DataFrame:
     )
 
 
-def preview(d: DataFrame, n: int = 10) -> DataFrame:
-    return d.orderBy("record_id").limit(n)
+def preview(d: DataFrame, n: int = 10, order: str | None = None) -> DataFrame:
+    """Any `n` rows, or the first `n` by a unique, never-null column.
+
+    The ordered form looks for the n-th key in the key column alone; only row groups that reach
+    below it are then read in full.
+    """
+    if order is None:
+        return d.limit(n)
+    last = d.select(order).orderBy(order).limit(n).agg(F.max(order).alias("last")).scalar()
+    return d.filter(F.col(order) <= last).orderBy(order).limit(n)
 
 
 def county_volume(d: DataFrame, k: int = 20) -> DataFrame:

@@ -288,6 +288,10 @@ def file_query(fmt: str, sql: str, limit: int = query.DEFAULT_LIMIT) -> Query:
     return run
 
 
+def file_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return query.describe(spark, inputs.lake_files(spark, sf_dir)["parquet"], "parquet")
+
+
 def free_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs.processed_zone(spark, sf_dir).createOrReplaceTempView("free_discharges")
     return query.run_sql(
@@ -349,7 +353,7 @@ QUERIES: dict[str, Query] = {
     # catalogue over the processed zone
     "total_records": over_processed(catalogue.total_records),
     "year_range": over_processed(catalogue.year_range),
-    "preview": over_processed(catalogue.preview),
+    "preview": over_processed(lambda d: catalogue.preview(d, order="record_id")),
     "county_volume": over_processed(catalogue.county_volume),
     "county_cost_stats": over_processed(catalogue.county_cost_stats),
     "common_diagnoses": over_processed(catalogue.common_diagnoses),
@@ -382,6 +386,7 @@ QUERIES: dict[str, Query] = {
     "record_count_template": file_query("parquet", templates.COUNT_RECORDS),
     "selection_template": file_query("csv", templates.selection(100, "record_id")),
     "group_template": file_query("json", templates.group_by("hospital_county")),
+    "file_schema": file_schema,
     "view_query": view_query,
     "free_sql": free_sql,
     "default_limit": default_limit,

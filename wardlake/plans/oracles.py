@@ -284,6 +284,11 @@ ORACLES: dict[str, str] = {
     "group_template": _raw(
         "SELECT hospital_county, COUNT(*) AS count FROM raw GROUP BY hospital_county"
     ),
+    "file_schema": (
+        "SELECT column_name AS col_name, CASE column_type WHEN 'VARCHAR' THEN 'string' "
+        "WHEN 'INTEGER' THEN 'int' ELSE LOWER(column_type) END AS data_type "
+        f"FROM (DESCRIBE {WITH_RAW} SELECT * FROM raw)"
+    ),
     "view_query": _raw(
         "SELECT hospital_county, COUNT(*) AS records FROM raw GROUP BY hospital_county"
     ),

@@ -17,6 +17,10 @@ def build_session(app_name: str = "wardlake", **conf: str) -> SparkSession:
         SparkSession.builder.appName(app_name)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # also the size of the files a rebalanced write leaves
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256m")
+        # the JVM does not compile longer methods; Spark then splits wide projections instead
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.session.timeZone", "UTC")
         # "06" in month=06 must stay text
         .config("spark.sql.sources.partitionColumnTypeInference.enabled", "false")

@@ -89,11 +89,10 @@ def ingest(
         parsed = parse_messages(batch, schema).persist()
         try:
             good, bad = split_corrupt(parsed)
-            quarantined = Observation(f"quarantine_{batch_id}")
-            bad.observe(quarantined, F.count("*").alias("rows")).write.mode("overwrite").json(
-                f"{base}/quarantine/batch_id={prefix}{batch_id}"
-            )
-            write_batch(good, f"{prefix}{batch_id}", base, error_count=quarantined.get["rows"])
+            errors = bad.count()
+            if errors:
+                bad.write.mode("overwrite").json(f"{base}/quarantine/batch_id={prefix}{batch_id}")
+            write_batch(good, f"{prefix}{batch_id}", base, error_count=errors)
         finally:
             parsed.unpersist()
 
