@@ -3,6 +3,7 @@
 import math
 
 import pytest
+from __spark_entry__ import queries
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
@@ -35,6 +36,11 @@ def test_one_model_per_target_with_the_lowest_rmse(trained):
         assert r.scores[r.model_type] == r.rmse
 
 
+def test_stored_rmse_is_the_rmse_over_the_holdout(spark, sf_dir, trained):
+    again = {r.model: r.rmse for r in queries()["holdout_rmse"](spark, sf_dir).collect()}
+    assert again == pytest.approx({r.name: r.rmse for r in trained[1]}, rel=1e-9)
+
+
 def test_first_of_equals_wins(spark):
     scores = spark.createDataFrame(
         [("t", "RandomForest", 0, 2.0), ("t", "GBT", 1, 2.0), ("u", "RandomForest", 0, 3.0), ("u", "GBT", 1, 1.0)],

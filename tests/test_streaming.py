@@ -84,6 +84,8 @@ def test_restart_adds_only_new_rows(spark, folder):
     assert (totals.total_batches, totals.total_messages, totals.errors) == (2, 19, 1)
     assert (totals.success_rate, totals.health) == (100.0, "degraded")
     assert spark.read.json(f"{folder}/quarantine").count() == 1
+    stats = reports.running_stats(ingest.read_manifest(spark, folder), query, 9.5).first()
+    assert (stats.status, stats.messages_per_second) == ("stopped", 2.0)
 
     drain(spark, folder)
     assert ingest.read_batches(spark, folder, "json", schema(spark)).count() == 19

@@ -21,7 +21,7 @@ from wardlake.plans import catalogue, inputs, templates
 from wardlake.plans.discharges import raw_discharges, table, to_processed
 from wardlake.schema import RAW_SCHEMA, TARGETS
 from wardlake.session import scratch_path
-from wardlake.sources import lake, messages
+from wardlake.sources import lake, messages, zones
 from wardlake.streaming import ingest, reports
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,6 +120,13 @@ def ingested_records(fmt: str) -> Query:
     return run
 
 
+def ingested_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole way: messages, stream, raw zone, processed zone, report."""
+    base = inputs.ingested_base(spark, sf_dir)
+    zones.write_processed(to_processed(ingest.read_batches(spark, base)), base)
+    return rounded(catalogue.county_volume(zones.read_processed(spark, base)), 5)
+
+
 def ingest_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = ingest.read_manifest(spark, inputs.ingested_base(spark, sf_dir))
     return reports.manifest_totals(manifest).drop("last_batch_time")
@@ -423,8 +430,8 @@ QUERIES: dict[str, Query] = {
     "recent_history": over_events(lambda e: numbering.recent(e, "ts", "event_id")),
     "ingest_totals": over_events(lambda e: reports.ingest_totals(e, "ts")),
     "rate_timeline": over_events(lambda e: reports.rate_timeline(e, "ts")),
-    "freshness_report": over_events(
-        lambda e: reports.freshness_report(e, "user_id", "ts", F.col("event_type") == "error")
+    "freshness_report": lambda spark, sf_dir: reports.freshness_report(
+        table(spark, sf_dir, "events"), "user_id", "ts", F.col("event_type") == "error"
     ),
     "stream_timeline": stream_timeline,
     "corrupt_split": corrupt_split,
@@ -432,6 +439,7 @@ QUERIES: dict[str, Query] = {
     "ingested_json": ingested_records("json"),
     "ingested_csv": ingested_records("csv"),
     "ingest_manifest": ingest_manifest,
+    "ingested_volume": ingested_volume,
     # requests and lookups
     "drg_lookup": over_raw(drg_lookup),
     "drg_descriptions": over_raw(drg_descriptions),

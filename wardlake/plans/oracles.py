@@ -377,7 +377,7 @@ ORACLES: dict[str, str] = {
         "FROM events GROUP BY 1"
     ),
     "freshness_report": (
-        "SELECT user_id, messages, last_message_time, errors, ROUND(age, 4) AS age_seconds, "
+        "SELECT user_id, messages, last_message_time, errors, age AS age_seconds, "
         "CASE WHEN age < 30 THEN 'Active' ELSE CAST(CAST(FLOOR(age) AS BIGINT) AS VARCHAR) || 's ago' "
         f"END AS freshness, {HEALTH.format('errors')} AS health FROM (SELECT user_id, "
         "COUNT(*) AS messages, MAX(ts) AS last_message_time, "
@@ -410,6 +410,12 @@ ORACLES: dict[str, str] = {
         f"{HEALTH.format('COUNT(*) FILTER (WHERE record_no % 101 = 100)')} AS health "
         f"FROM {NUMBERED_RAW}"
     ),
+    "ingested_volume": _d(
+        f"SELECT hospital_county, COUNT(*) AS patient_count, ROUND(AVG(total_charges), 5) AS avg_charges, "
+        f"ROUND(AVG(length_of_stay), 5) AS avg_length_of_stay FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY record_id) - 1 "
+        f"AS record_no FROM d) WHERE {KNOWN} AND record_no % 101 <> 100 GROUP BY hospital_county "
+        "ORDER BY patient_count DESC, hospital_county LIMIT 20"
+    ),
     "drg_lookup": _raw(
         f"SELECT record_id, {_number('apr_drg_code')} AS drg, "
         + ", ".join(

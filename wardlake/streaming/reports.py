@@ -129,6 +129,26 @@ def manifest_totals(manifest: DataFrame) -> DataFrame:
     )
 
 
+def stream_status(query: StreamingQuery) -> str:
+    if query.exception() is not None:
+        return "failed"
+    if not query.isActive:
+        return "stopped"
+    return "consuming" if query.lastProgress else "initializing"
+
+
+def running_stats(manifest: DataFrame, query: StreamingQuery, uptime_seconds: float) -> DataFrame:
+    """Manifest totals with the state of the query, its uptime and the messages per second."""
+    uptime = F.lit(float(uptime_seconds))
+    return manifest_totals(manifest).withColumns(
+        {
+            "status": F.lit(stream_status(query)),
+            "uptime_seconds": uptime,
+            "messages_per_second": guarded_rate(F.col("total_messages"), uptime),
+        }
+    )
+
+
 def _progress_row(progress) -> tuple:
     rate = progress["processedRowsPerSecond"] if "processedRowsPerSecond" in progress else None
     return (
