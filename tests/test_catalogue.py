@@ -2,6 +2,8 @@
 
 import pytest
 
+from wardlake.operators.profile import column_profile
+from wardlake.operators.rows import cap_training_rows
 from wardlake.plans import catalogue, inputs
 from wardlake.schema import AGE_ORDER, SEVERITY_ORDER
 
@@ -63,3 +65,13 @@ def test_group_count_keeps_the_largest(zone):
     got = catalogue.group_count(zone, ["hospital_county"], "total_charges", 0, k=4).collect()
     sizes = [r["count"] for r in got]
     assert len(sizes) == 4 and sizes == sorted(sizes, reverse=True)
+
+
+def test_empty_relation(zone):
+    empty = zone.limit(0)
+    assert [r.completeness_pct for r in catalogue.completeness(empty).collect()] == [None] * 3
+    assert catalogue.total_records(empty).first().total_records == 0
+    for query in (catalogue.county_cost_stats, catalogue.cost_outliers, catalogue.county_efficiency):
+        assert query(empty).collect() == []
+    assert {r.total_records for r in column_profile(empty).collect()} == {0}
+    assert cap_training_rows(empty, 10).count() == 0

@@ -45,6 +45,18 @@ def test_csv_quotes_survive(spark, folder):
     assert lake.read_lake(spark, folder, "csv", df.schema).orderBy("record_id").collect() == df.collect()
 
 
+def test_differing_csv_headers_are_refused(spark, folder):
+    df = relation(spark).coalesce(1)
+    df.write.option("header", True).csv(folder)
+    df.select("total_charges", "record_id", "hospital_county").write.mode("append").option(
+        "header", True
+    ).csv(folder)
+    with pytest.raises(Exception, match="(?i)header"):
+        lake.read_lake(spark, folder, "csv", df.schema).collect()
+    with pytest.raises(Exception, match="(?i)header"):
+        lake.read_lake(spark, folder, "csv", df.schema).select("record_id").collect()
+
+
 def test_missing_csv_columns_are_null(spark, folder):
     relation(spark).drop("total_charges").write.option("header", True).csv(folder)
     got = lake.read_lake(spark, folder, "csv", RAW_SCHEMA)

@@ -16,7 +16,8 @@ def rank_of(c: Column, ordered: list[str]) -> Column:
 
 
 def percent_of(part: Column, whole: Column) -> Column:
-    return part.cast("double") * 100.0 / whole.cast("double")
+    """Null when there is nothing to take a share of."""
+    return F.try_divide(part.cast("double") * 100.0, whole.cast("double"))
 
 
 def guarded_rate(amount: Column, seconds: Column) -> Column:

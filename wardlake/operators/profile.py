@@ -100,6 +100,7 @@ def _profile_family(df: DataFrame) -> DataFrame:
     if not numeric:
         return profile.withColumns({"mean": no_number, "stddev": no_number})
     moments = pairs.groupBy("field_name").agg(
-        F.avg("value").alias("mean"), F.stddev_samp("value").alias("stddev")
+        F.avg(value.cast("double")).alias("mean"),
+        F.stddev_samp(value.cast("double")).alias("stddev"),
     )
     return profile.join(moments, "field_name")

@@ -102,7 +102,8 @@ def cap_training_rows(df: DataFrame, rows: int | None = None, seed: int = 42) ->
     """
     if rows is None:
         return df
-    share = df.agg(F.least(F.lit(1.0), F.lit(float(rows)) / F.count("*")).alias("share")).scalar()
+    fraction = F.try_divide(F.lit(float(rows)), F.count("*"))
+    share = df.agg(F.least(F.lit(1.0), fraction).alias("share")).scalar()
     draw = F.pmod(F.xxhash64(F.lit(seed), F.col("record_id")), F.lit(1 << 30)) / float(1 << 30)
     return df.filter(draw < share)
 

@@ -150,6 +150,37 @@ def success_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(reports.manifest_totals(manifest))
 
 
+def corrupt_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good and undecodable messages per partition, and a checksum over the good ones."""
+    schema = T.StructType([T.StructField("k", T.LongType())])
+    parsed = messages.parse_messages(inputs.damaged_event_messages(spark, sf_dir), schema)
+    good = F.col(messages.CORRUPT).isNull()
+    kind = F.when(good, "good").otherwise("corrupt").alias("kind")
+    return parsed.groupBy("kafka_partition", kind).agg(
+        F.count("*").alias("records"),
+        F.sum(F.when(good, F.col("k"))).alias("k_sum"),
+        F.sum("kafka_offset").alias("offsets"),
+    )
+
+
+def stream_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    timeline = reports.read_timeline(spark, inputs.timeline_base(spark, sf_dir))
+    return timeline.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+def success_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of 100 events, of which the CSV copy failed where a batch held an error event."""
+    numbered = numbering.number_records(table(spark, sf_dir, "events"), "event_id")
+    manifest = numbered.groupBy(F.floor(F.col("record_no") / 100).alias("batch_id")).agg(
+        F.count("*").alias("record_count"),
+        F.count_if(F.col("event_type") == "error").alias("error_count"),
+        F.max("ts").alias("timestamp"),
+        F.lit("json").alias("json_path"),
+        F.expr("count_if(event_type = 'error') = 0").alias("csv_saved"),
+    )
+    return rounded(reports.manifest_totals(manifest))
+
+
 def corrupt_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Good and quarantined messages per key, and a checksum over the good ones."""
     schema = T.StructType([T.StructField("k", T.LongType())])
