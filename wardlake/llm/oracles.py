@@ -94,8 +94,33 @@ WITH p AS (
 SELECT page_id, host, path, rule, COALESCE(verdict, 'allow') AS verdict FROM p LEFT JOIN fits USING (page_id)
 """
 
+NEAR_DUPLICATES = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, row_number() OVER () AS r,
+    COALESCE(regexp_extract_all({LOWER.format('text')}, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents
+), s AS (
+  SELECT DISTINCT r, unnest(CASE WHEN len(w) >= 4
+    THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM d
+), n AS (
+  SELECT r, count(*) AS n FROM s GROUP BY r
+), links AS (
+  SELECT x.r AS a, y.r AS b FROM s x JOIN s y ON x.g = y.g AND x.r <> y.r
+  JOIN n nx ON nx.r = x.r JOIN n ny ON ny.r = y.r
+  GROUP BY x.r, y.r, nx.n, ny.n HAVING 100 * count(*) >= 80 * (nx.n + ny.n - count(*))
+), reach AS (
+  SELECT r AS a, r AS b FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), part AS (
+  SELECT reach.a AS r, min(d.doc_id) AS component_id FROM reach JOIN d ON d.r = reach.b GROUP BY reach.a
+)
+SELECT doc_id, CAST(COALESCE(n, 0) AS BIGINT) AS n_shingles, component_id,
+  doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM d JOIN part USING (r) LEFT JOIN n USING (r)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_license_scan": _license_sql(),
     "op2_decontamination": DECONTAMINATION,
     "op5_url_rules": URL_RULES,
+    "op9_minhash_neardup": NEAR_DUPLICATES,
 }

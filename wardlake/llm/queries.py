@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlake.llm import decontaminate, licenses, quality, url_filter
+from wardlake.llm import decontaminate, licenses, neardup, pieces, quality, secrets, url_filter
+from wardlake.session import scratch_path
+
+PIECE_MODEL = "piece_bpe_32k.model"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,11 +50,52 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def piece_model(spark: SparkSession) -> bytes:
+    """The public model file of the piece queries."""
+    import public_tokenizers
+
+    return pieces.model_bytes(spark, public_tokenizers.path(PIECE_MODEL))
+
+
+def piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = piece_model(spark)
+    encoded = table(spark, sf_dir, "documents").select("doc_id", pieces.encode(F.col("text"), model).alias("ids"))
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        sha256_of(F.transform("ids", lambda i: i.cast("string"))).alias("ids_sha256"),
+        F.sha2(pieces.decode(F.col("ids"), model), 256).alias("decoded_sha256"),
+    )
+
+
 def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_filter.judge(table(spark, sf_dir, "pages"), rules)
 
 
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first scan: the ledger starts empty."""
+    found = secrets.scan(table(spark, sf_dir, "documents"), scratch_path(spark, "ledger"))
+
+    def kind_count(kind: str) -> Column:
+        return F.size(F.filter("findings", lambda f: f["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    def span(f: Column) -> Column:
+        return F.concat_ws(":", f["kind"], f["start"], f["stop"])
+
+    base = F.filter("findings", lambda f: f["kind"].isin(*secrets.BASE_KINDS))
+    return found.select(
+        "doc_id",
+        *[kind_count(kind) for kind in secrets.BASE_KINDS],
+        sha256_of(F.transform(base, span)).alias("base_sha256"),
+        F.array_join(F.transform("findings", span), ",").alias("spans"),
+    )
+
+
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=4)
+
+
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -59,6 +103,9 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_license_scan": license_scan,
     "op2_decontamination": decontamination,
+    "op3_piece_codec": piece_codec,
     "op5_url_rules": url_rules,
+    "op6_secret_scan": secret_scan,
     "op7_quality_rules": quality_rules,
+    "op9_minhash_neardup": near_duplicates,
 }
