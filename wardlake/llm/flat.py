@@ -97,3 +97,31 @@ def run_hashes(words: np.ndarray, n: int) -> np.ndarray:
     for k in range(n):
         total += words[k : len(words) - n + 1 + k] * factors[k]
     return mixed(total)
+
+
+class IntTable:
+    """Places of known non-negative 64-bit keys; open addressing, looked up for whole arrays."""
+
+    def __init__(self, keys: np.ndarray):
+        bits = max(8, int(4 * max(1, len(keys)) - 1).bit_length())
+        self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
+        self.key = np.full(1 << bits, -1, np.int64)
+        self.place = np.full(1 << bits, -1, np.int64)
+        for i, (key, slot) in enumerate(zip(keys.tolist(), self._slot(keys).tolist())):
+            while self.key[slot] >= 0:
+                slot = (slot + 1) & self.last
+            self.key[slot], self.place[slot] = key, i
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint64) * _ODD >> self.shift).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Index of each key among the known ones, or -1."""
+        slot = self._slot(keys)
+        held = self.key[slot]
+        rest = np.flatnonzero((held != keys) & (held >= 0))
+        while len(rest):  # the slot belongs to another key: look into the next one
+            slot[rest] = (slot[rest] + 1) & self.last
+            held[rest] = self.key[slot[rest]]
+            rest = rest[(held[rest] != keys[rest]) & (held[rest] >= 0)]
+        return np.where(held == keys, self.place[slot], -1)

@@ -29,14 +29,12 @@ import pyarrow as pa
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from wardlake.llm.flat import chunks, mixed, multipliers
+from wardlake.llm.flat import IntTable, chunks, mixed, multipliers
 
 SPACE = "▁"
 NO_RANK = np.iinfo(np.int32).max
 CODES = 0x110000
 LONG = 256
-SLOT_BITS = 19
-SLOTS = 1 << SLOT_BITS
 
 
 @dataclass
@@ -45,9 +43,9 @@ class Pieces:
 
     size: int
     char_symbol: np.ndarray  # code point -> symbol
-    slot_key: np.ndarray  # hash table of pairs: left * (size + CODES) + right, or -1
-    slot_rank: np.ndarray
-    slot_symbol: np.ndarray
+    pairs: IntTable  # of left * (size + CODES) + right
+    pair_rank: np.ndarray  # by place in `pairs`; the last entry serves pairs that are no piece
+    pair_symbol: np.ndarray
     byte_id: int  # id of the piece of byte 0; the other bytes follow
     surface: list[bytes]  # what each id decodes to, before the leading blank is dropped
     opens: np.ndarray  # whether a piece begins with the space symbol
@@ -56,31 +54,8 @@ class Pieces:
 
     def merges(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and merged symbol of each pair; NO_RANK where no piece results."""
-        key = left * np.int64(self.size + CODES) + right
-        slot = slot_of(key)
-        held = self.slot_key[slot]
-        rest = np.flatnonzero((held != key) & (held >= 0))
-        while len(rest):  # taken by another pair: look into the next slot
-            slot[rest] = (slot[rest] + 1) % SLOTS
-            held[rest] = self.slot_key[slot[rest]]
-            rest = rest[(held[rest] != key[rest]) & (held[rest] >= 0)]
-        return np.where(held == key, self.slot_rank[slot], NO_RANK), self.slot_symbol[slot]
-
-
-def slot_of(key: np.ndarray) -> np.ndarray:
-    return (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-
-
-def filled_slots(table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash table arrays of (key, rank, symbol) rows."""
-    if 2 * len(table) > SLOTS:
-        raise ValueError("too many pairs for the hash table")
-    key, rank, symbol = np.full(SLOTS, -1), np.full(SLOTS, NO_RANK, np.int32), np.zeros(SLOTS, np.int64)
-    for (k, r, s), slot in zip(table.tolist(), slot_of(table[:, 0]).tolist()):
-        while key[slot] >= 0:
-            slot = (slot + 1) % SLOTS
-        key[slot], rank[slot], symbol[slot] = k, r, s
-    return key, rank, symbol
+        at = self.pairs.find(left * np.int64(self.size + CODES) + right)
+        return self.pair_rank[at], self.pair_symbol[at]
 
 
 @lru_cache(maxsize=4)
@@ -114,7 +89,7 @@ def load_pieces(model: bytes) -> Pieces:
             left, right = symbol(piece[:cut]), symbol(piece[cut:])
             if left is not None and right is not None:
                 rows.append((left * (len(ids) + CODES) + right, rank_of[processor.get_score(i)], i))
-    key, rank, merged = filled_slots(np.array(rows, dtype=np.int64).reshape(-1, 3))
+    table = np.array(rows, dtype=np.int64).reshape(-1, 3)
     names = [processor.id_to_piece(i) for i in ids]
     surface = []
     for i, name in enumerate(names):
@@ -129,9 +104,9 @@ def load_pieces(model: bytes) -> Pieces:
     return Pieces(
         size=len(ids),
         char_symbol=char_symbol,
-        slot_key=key,
-        slot_rank=rank,
-        slot_symbol=merged,
+        pairs=IntTable(table[:, 0]),
+        pair_rank=np.append(table[:, 1], NO_RANK).astype(np.int32),
+        pair_symbol=np.append(table[:, 2], -1),
         byte_id=first_byte,
         surface=surface,
         opens=np.array([n.startswith(SPACE) for n in names]),

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlake.llm import decontaminate, licenses, neardup, pieces, quality, secrets, url_filter
+from wardlake.llm import (
+    decontaminate,
+    langid,
+    licenses,
+    neardup,
+    pieces,
+    quality,
+    secrets,
+    suffix_lm,
+    url_filter,
+)
+from wardlake.llm.common import held_out
 from wardlake.session import scratch_path
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -92,6 +103,17 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def suffix_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_lm.score(table(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 5, 1))
+
+
+def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = held_out(F.col("doc_id"), 4, 2)
+    judged = langid.identify(docs, ~out, piece_model(spark))
+    return judged.select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=4)
 
@@ -104,8 +126,10 @@ QUERIES: dict[str, Query] = {
     "op1_license_scan": license_scan,
     "op2_decontamination": decontamination,
     "op3_piece_codec": piece_codec,
+    "op4_suffix_lm": suffix_scores,
     "op5_url_rules": url_rules,
     "op6_secret_scan": secret_scan,
     "op7_quality_rules": quality_rules,
+    "op8_language_id": languages,
     "op9_minhash_neardup": near_duplicates,
 }
