@@ -12,6 +12,7 @@ from wardlake.llm import (
     langid,
     licenses,
     neardup,
+    paragraphs,
     pieces,
     quality,
     secrets,
@@ -118,6 +119,10 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=4)
 
 
+def passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.repeated_paragraphs(table(spark, sf_dir, "documents")).drop("print")
+
+
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -132,4 +137,5 @@ QUERIES: dict[str, Query] = {
     "op7_quality_rules": quality_rules,
     "op8_language_id": languages,
     "op9_minhash_neardup": near_duplicates,
+    "op10_passage_dedup": passage_dedup,
 }
