@@ -1,8 +1,75 @@
-"""The corpus pipeline (written out once its stages exist)."""
+"""From raw documents to token ids: a pipeline of five stages.
 
-STAGES = []
+Every stage takes (spark, docs, sf_dir), works on all documents its predecessor kept and returns a
+DataFrame, which is written as Parquet to the shared folder and read again for the next one. All
+but the last return the columns of `documents`.
+
+Defined cases: null and letterless texts are rejected by the first stage. A null id is an id of its
+own; rows equal in id and text count as copies. An empty table passes through all stages. Columns
+beyond those of `documents` are carried along.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from wardlake.llm import decontaminate, langid, neardup, pieces, secrets
+from wardlake.llm.common import stored
+from wardlake.llm.queries import piece_model
+from wardlake.session import scratch_path
+
+LEAST_POSTERIOR = 0.5
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is clear; learns from the languages the documents name."""
+    judged = langid.identify(docs, F.col("lang").isNotNull(), piece_model(spark))
+    clear = (F.col("lang_pred") != langid.UND) & (F.col("score") >= LEAST_POSTERIOR)
+    return judged.filter(clear).drop("lang_pred", "score")
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return neardup.drop_duplicates(docs)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark passage."""
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with every secret in their texts replaced by a mark."""
+    clean = secrets.redact(docs, scratch_path(spark, "ledger"))
+    return clean.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+def as_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with their token ids, and whether decoding gives the text back."""
+    model = piece_model(spark)
+    encoded = docs.withColumn("ids", pieces.encode(F.col("text"), model))
+    decoded = pieces.decode(F.col("ids"), model)
+    return encoded.withColumn("n_tokens", F.size("ids").cast("bigint")).withColumn(
+        "round_trip", decoded == F.col("text")
+    )
+
+
+STAGES = [
+    ("language_id", known_language),
+    ("near_duplicates", one_of_each_group),
+    ("decontamination", without_benchmark),
+    ("secrets", without_secrets),
+    ("pieces", as_pieces),
+]
+
+# SQL cannot express the language model, so the pipeline is tested against a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage over the whole documents table."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+    return docs

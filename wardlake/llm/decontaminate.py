@@ -163,5 +163,6 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id",
     """The documents without any benchmark window, with all their columns."""
     judged = contamination(docs, items, doc_id, text, **names)
     bad = judged.filter("contaminated").select(F.col(doc_id).alias("_id"), F.col("print").alias("_print")).distinct()
+    bad = broadcast_if_small(stored(bad, "contaminated"))
     same = F.col(f"`{doc_id}`").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("_print"))
     return docs.join(bad, same, "left_anti")

@@ -19,9 +19,9 @@ pair at exactly 0.8 is missed once in about 200,000 times. Confirmation is on fu
 wrong is linked.
 
 Defined cases: null and wordless texts have no shingles and stand alone. Fewer words than a shingle
-make one shingle of all words. The component id is the smallest non-null id of the component; a row
-is kept if its id is that id, and rows with a null id are kept if their component has no other id.
-Rows that repeat an id share its verdict. Extra columns are ignored.
+make one shingle of all words. The component id is the smallest non-null id of the component, or null
+if it has none. The kept row of a component is the one with that id and the smallest hash of its text
+(`print`); rows that repeat both id and text share its verdict. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -43,6 +43,7 @@ SIMILARITY = (8, 10)
 COORDINATES = 64
 AGREE = 36
 ROWS_AT_ONCE = 4096
+HEAD = "struct(id is null as unnamed, id, print)"  # rows with an id come first
 
 
 def shingle_sets(texts: list[str | None], words: int) -> Iterator[np.ndarray]:
@@ -182,7 +183,7 @@ def near_duplicates(
     coordinates: int = COORDINATES,
     agree: int = AGREE,
 ) -> DataFrame:
-    """One row per document: its id, n_shingles, component_id and kept.
+    """One row per document: its id, print, n_shingles, component_id and kept.
 
     `similarity` is a fraction (numerator, denominator) of whole numbers.
     """
@@ -197,6 +198,7 @@ def near_duplicates(
     classes = stored(
         members.groupBy("class").agg(
             F.min(F.struct("id", "print")).alias("rep"),
+            F.min(F.expr(HEAD)).alias("head"),
             F.first("n_shingles").alias("n_shingles"),
             F.first("signature").alias("signature"),
         ),
@@ -208,15 +210,29 @@ def near_duplicates(
     rest = residual_pairs(postings, components(first))
     second = confirmed(agreeing(rest, classes, agree, similarity), source, classes, words, similarity)
     labels = components(first.unionByName(second)).select(F.col("node").alias("class"), "component")
-    named = classes.select("class", "rep.id").join(labels, "class", "left")
-    part = named.select("class", "id", F.coalesce("component", "class").alias("component"))
-    smallest = part.groupBy("component").agg(F.min("id").alias("component_id"))
-    by_class = part.join(smallest, "component").select("class", "component_id")
-    judged = rows.select("id", "n_shingles", "class").join(by_class, "class", "left")
-    own = F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("component_id"))
+    named = classes.select("class", "head").join(labels, "class", "left")
+    part = named.select("class", "head", F.coalesce("component", "class").alias("component"))
+    heads = part.groupBy("component").agg(F.min("head").alias("kept_head"))
+    by_class = part.join(heads, "component").select("class", "kept_head")
+    judged = rows.select("id", "print", "n_shingles", "class").join(by_class, "class", "left")
+    head = F.coalesce("kept_head", F.expr(HEAD))
     return judged.select(
         F.col("id").alias(doc_id),
+        "print",
         "n_shingles",
-        own.alias("component_id"),
-        F.col("id").eqNullSafe(own).alias("kept"),
+        head["id"].alias("component_id"),
+        head.eqNullSafe(F.expr(HEAD)).alias("kept"),
     )
+
+
+def drop_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """One document of each component, with all its columns; of rows equal in id and text, one."""
+    judged = stored(near_duplicates(docs, doc_id, text, **options), "judged")
+    key = judged.select(F.col(doc_id).alias("_id"), F.col("print").alias("_print"), "kept")
+    same = F.col(f"`{doc_id}`").cast("bigint").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("_print"))
+    again = stored(key.filter("kept").groupBy("_id", "_print").count().filter("count > 1").drop("count"), "again")
+    gone = key.filter("not kept").select("_id", "_print").distinct()
+    single = docs.join(broadcast_if_small(stored(gone.union(again), "gone")), same, "left_anti")
+    if again.isEmpty():
+        return single
+    return single.union(docs.join(again, same, "left_semi").dropDuplicates([doc_id, text]))

@@ -116,7 +116,7 @@ def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=4)
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=4).drop("print")
 
 
 def passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
