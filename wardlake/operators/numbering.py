@@ -19,9 +19,10 @@ def number_records(
     block_bits: int = BLOCK_BITS,
     range_bits: int = RANGE_BITS,
 ) -> DataFrame:
-    """Add 0, 1, 2, ... in the order of `order`, a unique whole-number column.
+    """Add 0, 1, 2, ... in the order of `order`, a unique whole-number column without nulls.
 
-    Rows are numbered inside their id block in parallel. The blocks' start numbers come from
+    A row without an id has no place in the order; it ends the job with an error instead of being
+    lost. The input is read once for the ids alone and once for its rows. Rows are numbered inside their id block in parallel. The blocks' start numbers come from
     running sums over block sizes, first inside each range of blocks and then over the ranges.
     Blocks are cut by the bits of the id, so a recomputed task always lands on the same numbers.
     """
@@ -32,8 +33,11 @@ def number_records(
         )
 
     block = F.shiftright(F.col(order).cast("bigint"), block_bits)
+    # both uses of the sizes then have the same plan, and the second one reuses the first's shuffle
     sizes = (
-        df.groupBy(block.alias("_block"))
+        df.select(order)
+        .filter(F.col(order).isNotNull())
+        .groupBy(block.alias("_block"))
         .agg(F.count("*").alias("_rows"))
         .withColumn("_range", F.shiftright("_block", range_bits))
     )
@@ -52,8 +56,8 @@ def number_records(
     return (
         df.withColumn("_block", block)
         .withColumn("_inside", inside)
-        .join(starts, "_block")
-        .withColumn(name, F.col("_start") + F.col("_inside"))
+        .join(starts, "_block", "left")
+        .withColumn(name, F.coalesce("_start", F.raise_error(F.lit(f"a record has no {order}"))) + F.col("_inside"))
         .drop("_block", "_inside", "_start")
     )
 

@@ -1,10 +1,8 @@
-"""Column profiles: one scan over the rows whatever the number of columns."""
+"""Column profiles in one or two scans over the rows, whatever the number of columns."""
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,59 +46,50 @@ def null_profile(df: DataFrame) -> DataFrame:
 
 
 def column_profile(df: DataFrame) -> DataFrame:
-    """Type, counts, extremes, mean and spread of every column.
+    """Type, counts, extremes, mean and spread of every column, in two scans.
 
-    Columns of one type are unpivoted together into (field, value) pairs and counted per distinct
-    value. Repeated pairs collapse before the shuffle, and the shuffle spreads over the values
-    instead of over the fields. Text extremes and numeric extremes are separate columns, so
-    numbers are not compared as text.
+    One aggregate row holds everything but the distinct counts. Those come from (field, value) pairs
+    as text: repeated pairs collapse before the shuffle, which spreads over the values instead of
+    over the fields. Text extremes and numeric extremes are separate columns, so numbers are not
+    compared as text.
     """
-    families: dict[str, list[str]] = {}
-    for name, kind in df.dtypes:
-        families.setdefault(kind, []).append(name)
-    profiles = reduce(
-        DataFrame.unionByName, [_profile_family(df.select(*names)) for names in families.values()]
-    )
-    fields = df.sparkSession.createDataFrame(df.dtypes, "field_name string, data_type string")
-    counts = ["total_records", "non_null_records", "distinct_values"]
-    return (
-        fields.join(profiles, "field_name", "left")
-        .withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in counts})
-        .orderBy("field_name")
-    )
+    numeric = {f.name: isinstance(f.dataType, T.NumericType) for f in df.schema}
+    facts = ["total_records", "non_null_records", "min_text", "max_text", "min_number", "max_number", "mean", "stddev"]
 
+    def of(name: str) -> list[Column]:
+        value = F.col(f"`{name}`")
+        number = value.cast("double")
+        no_text, no_number = F.lit(None).cast("string"), F.lit(None).cast("double")
+        text = [F.min(value).cast("string"), F.max(value).cast("string"), *[no_number] * 4]
+        numbers = [no_text, no_text, F.min(number), F.max(number), F.avg(number), F.stddev_samp(number)]
+        return [F.count("*"), F.count(value), *(numbers if numeric[name] else text)]
 
-def _profile_family(df: DataFrame) -> DataFrame:
-    """Profile of columns that share one type."""
-    numeric = isinstance(df.schema[0].dataType, T.NumericType)
-    pairs = df.unpivot([], df.columns, "field_name", "value")
-    value, no_text, no_number = F.col("value"), F.lit(None).cast("string"), F.lit(None).cast("double")
-    profile = (
-        pairs.groupBy("field_name", "value")
-        .agg(F.count("*").alias("n"))
-        .groupBy("field_name")
-        .agg(
-            F.sum("n").alias("total_records"),
-            F.sum(F.when(value.isNotNull(), F.col("n")).otherwise(0)).alias("non_null_records"),
-            F.count("value").alias("distinct_values"),
-            F.min("value").alias("lowest"),
-            F.max("value").alias("highest"),
-        )
-        .select(
-            "field_name",
-            "total_records",
-            "non_null_records",
-            "distinct_values",
-            (no_text if numeric else F.col("lowest").cast("string")).alias("min_text"),
-            (no_text if numeric else F.col("highest").cast("string")).alias("max_text"),
-            (F.col("lowest").cast("double") if numeric else no_number).alias("min_number"),
-            (F.col("highest").cast("double") if numeric else no_number).alias("max_number"),
+    wide = df.agg(*[c.alias(f"{name}|{fact}") for name in df.columns for c, fact in zip(of(name), facts)])
+    entries = [
+        F.struct(
+            F.lit(name).alias("field_name"),
+            F.lit(kind).alias("data_type"),
+            *[F.col(f"`{name}|{fact}`").alias(fact) for fact in facts],
         )
+        for name, kind in df.dtypes
+    ]
+
+    def as_text(name: str) -> Column:
+        value = F.col(f"`{name}`")
+        # 0.0 and -0.0 are one value with two texts
+        return (value + F.lit(0.0) if numeric[name] and dict(df.dtypes)[name] in ("double", "float") else value).cast("string")
+
+    pairs = df.select(*[as_text(name).alias(name) for name in df.columns]).unpivot([], df.columns, "field_name", "value")
+    distinct = (
+        pairs.filter("value is not null")
+        .groupBy("field_name", "value")
+        .agg(F.lit(1).alias("one"))
+        .groupBy("field_name")
+        .agg(F.count("*").alias("distinct_values"))
     )
-    if not numeric:
-        return profile.withColumns({"mean": no_number, "stddev": no_number})
-    moments = pairs.groupBy("field_name").agg(
-        F.avg(value.cast("double")).alias("mean"),
-        F.stddev_samp(value.cast("double")).alias("stddev"),
+    return (
+        wide.select(F.inline(F.array(*entries)))
+        .join(distinct, "field_name", "left")
+        .withColumn("distinct_values", F.coalesce("distinct_values", F.lit(0)))
+        .orderBy("field_name")
     )
-    return profile.join(moments, "field_name")

@@ -1,8 +1,7 @@
-"""SQL over files and views, always limited on the plan and fit for JSON."""
+"""SQL over files and views, with results fit for JSON."""
 
 from __future__ import annotations
 
-import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,21 +10,15 @@ from pyspark.sql import types as T
 from wardlake.operators.rows import sanitise
 from wardlake.sources.lake import read_lake
 
-# Result sizes when the caller names none, and the most one may ask for.
-DEFAULT_LIMIT = 1_000
-MAX_LIMIT = 10_000
-# A statement that ends in its own LIMIT; the word elsewhere in the text means nothing.
-OWN_LIMIT = re.compile(r"\blimit\s+\d+(\s+offset\s+\d+)?\s*;?\s*$", re.IGNORECASE)
 
-
-def _result(df: DataFrame, limit: int, sql: str | None = None) -> DataFrame:
-    """The caller's limit applies unless the statement sets its own; the maximum always does."""
-    own = sql is not None and OWN_LIMIT.search(sql)
-    return sanitise(df).limit(MAX_LIMIT if own else min(limit, MAX_LIMIT))
+def _result(df: DataFrame, limit: int | None) -> DataFrame:
+    """All rows, or as many as the caller names; a LIMIT in the statement is part of its plan."""
+    clean = sanitise(df)
+    return clean if limit is None else clean.limit(limit)
 
 
 def query_frame(
-    source: DataFrame, sql: str | None = None, limit: int = DEFAULT_LIMIT
+    source: DataFrame, sql: str | None = None, limit: int | None = None
 ) -> DataFrame:
     """Run SQL in which {table} stands for `source`; without SQL, all its columns."""
     if sql is None:
@@ -37,7 +30,7 @@ def query_frame(
     finally:
         # the analysed plan no longer needs the name
         source.sparkSession.catalog.dropTempView(name)
-    return _result(df, limit, sql)
+    return _result(df, limit)
 
 
 def query_file(
@@ -45,7 +38,7 @@ def query_file(
     path: str,
     sql: str | None = None,
     fmt: str = "csv",
-    limit: int = DEFAULT_LIMIT,
+    limit: int | None = None,
     schema: T.StructType | None = None,
 ) -> DataFrame:
     return query_frame(read_lake(spark, path, fmt, schema), sql, limit)
@@ -58,13 +51,13 @@ def create_view(
 
 
 def query_view(
-    spark: SparkSession, name: str, sql: str | None = None, limit: int = DEFAULT_LIMIT
+    spark: SparkSession, name: str, sql: str | None = None, limit: int | None = None
 ) -> DataFrame:
-    return _result(spark.table(name) if sql is None else spark.sql(sql), limit, sql)
+    return _result(spark.table(name) if sql is None else spark.sql(sql), limit)
 
 
-def run_sql(spark: SparkSession, sql: str, limit: int = DEFAULT_LIMIT) -> DataFrame:
-    return _result(spark.sql(sql), limit, sql)
+def run_sql(spark: SparkSession, sql: str, limit: int | None = None) -> DataFrame:
+    return _result(spark.sql(sql), limit)
 
 
 def describe(

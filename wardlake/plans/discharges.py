@@ -62,41 +62,15 @@ JOIN {nation} n ON c.c_nationkey = n.n_nationkey
 """
 
 
-# Given tables the relations are built from; a known schema spares a job that reads file footers.
-TABLE_SCHEMAS = {
-    "orders": (
-        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
-        "o_orderdate timestamp_ntz, o_orderpriority string"
-    ),
-    "customer": (
-        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
-    ),
-    "nation": "n_nationkey int, n_name string, n_regionkey int",
-    "events": (
-        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
-        "props string"
-    ),
-}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a small input out to all cores; inputs with enough splits stay as they are.
-
-    The row-by-row work that follows (text building, JSON) would otherwise run in a few tasks.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def raw_discharges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw text rows. Join sides are left to the optimiser, which broadcasts by measured size."""
     return spark.sql(
         RAW_SQL,
-        orders=spread(table(spark, sf_dir, "orders")),
+        orders=table(spark, sf_dir, "orders"),
         customer=table(spark, sf_dir, "customer"),
         nation=table(spark, sf_dir, "nation"),
     )

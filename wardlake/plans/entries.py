@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,12 +16,12 @@ from wardlake.functions.cleaning import to_double
 from wardlake.functions.reporting import iso_text, stamp_text
 from wardlake.models.features import feature_pipeline, prepare
 from wardlake.models.registry import list_models, registry
-from wardlake.models.scoring import rmse_by_model, score_smart
-from wardlake.models.training import leaderboard, numeric_target
+from wardlake.models.scoring import rmse_by_model, score_isolated, score_smart
+from wardlake.models.training import ALGORITHMS, leaderboard, numeric_target
 from wardlake.operators import numbering, profile, query, requests, rows
 from wardlake.plans import catalogue, inputs, templates
 from wardlake.plans.discharges import raw_discharges, table, to_processed
-from wardlake.schema import RAW_SCHEMA, TARGETS
+from wardlake.schema import NUMERIC_FEATURES, RAW_SCHEMA, TARGETS
 from wardlake.session import scratch_path
 from wardlake.sources import lake, messages, zones
 from wardlake.streaming import ingest, reports
@@ -89,21 +91,36 @@ def lake_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def main_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Facts of the largest CSV file of the lake."""
+    """Facts of the largest CSV dataset of the lake."""
     path = lake.pick_main_file(spark, inputs.lake_files(spark, sf_dir)["base"]).first()["path"]
     return file_facts(lake.read_lake(spark, path, "csv", RAW_SCHEMA))
 
 
+def inventory_facts(inventory: DataFrame) -> DataFrame:
+    """Zones and formats; how many files a zone has is up to the writer."""
+    return inventory.select("zone", "format", (F.col("files") > 0).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"))
+
+
 def lake_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lake.lake_inventory(spark, inputs.lake_files(spark, sf_dir)["base"])
+    return inventory_facts(lake.lake_inventory(spark, inputs.lake_files(spark, sf_dir)["base"]))
 
 
 def data_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The inventory, released only when the ingested lake holds enough data files."""
     base = inputs.ingested_base(spark, sf_dir)
-    if not lake.has_enough_data(spark, f"{base}/raw", 3):
+    if not lake.has_enough_data(spark, f"{base}/raw", 2):
         raise RuntimeError("not enough data files")
-    return lake.lake_inventory(spark, f"{base}/raw")
+    return inventory_facts(lake.lake_inventory(spark, f"{base}/raw"))
+
+
+def unfinished_attempt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lake in which one attempt died before its manifest row: its records do not count."""
+    return file_facts(lake.load_raw(spark, f"{inputs.damaged_lake(spark, sf_dir)}/raw"))
+
+
+def reordered_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two CSV datasets with the same columns in different order, read together without a schema."""
+    return file_facts(lake.read_lake(spark, inputs.reordered_files(spark, sf_dir), "csv"))
 
 
 def exported_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,44 +139,33 @@ def ingested_records(fmt: str) -> Query:
 
 def ingested_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole way: messages, stream, raw zone, processed zone, report."""
-    base = inputs.ingested_base(spark, sf_dir)
-    zones.write_processed(to_processed(ingest.read_batches(spark, base)), base)
-    return rounded(catalogue.county_volume(zones.read_processed(spark, base)), 5)
+    return rounded(catalogue.county_volume(zones.read_processed(spark, inputs.ingested_zone(spark, sf_dir))), 5)
 
 
 def ingest_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of the ingest; how many batches there are is up to the batch size."""
     manifest = ingest.read_manifest(spark, inputs.ingested_base(spark, sf_dir))
-    return reports.manifest_totals(manifest).drop("last_batch_time")
+    whole = (F.col("json_files") == F.col("total_batches")) & (F.col("csv_files") == F.col("total_batches"))
+    totals = reports.manifest_totals(manifest).withColumn("all_saved", whole)
+    return totals.drop("last_batch_time", "total_batches", "json_files", "csv_files")
 
 
-def stream_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    timeline = reports.read_timeline(spark, inputs.timeline_base(spark, sf_dir))
-    return timeline.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+def running_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of the drained ingest, as if it had been up for ten seconds."""
+    base, query_ = inputs.ingested(spark, sf_dir)
+    stats = reports.running_stats(ingest.read_manifest(spark, base), query_, 10.0)
+    return rounded(stats.select("total_messages", "errors", "status", "uptime_seconds", "messages_per_second", "health"))
 
 
-def success_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batches of 100 events, of which the CSV copy failed where a batch held an error event."""
-    numbered = numbering.number_records(table(spark, sf_dir, "events"), "event_id")
-    manifest = numbered.groupBy(F.floor(F.col("record_no") / 100).alias("batch_id")).agg(
-        F.count("*").alias("record_count"),
-        F.count_if(F.col("event_type") == "error").alias("error_count"),
-        F.max("ts").alias("timestamp"),
-        F.lit("json").alias("json_path"),
-        F.expr("count_if(event_type = 'error') = 0").alias("csv_saved"),
-    )
-    return rounded(reports.manifest_totals(manifest))
-
-
-def corrupt_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Good and undecodable messages per partition, and a checksum over the good ones."""
-    schema = T.StructType([T.StructField("k", T.LongType())])
-    parsed = messages.parse_messages(inputs.damaged_event_messages(spark, sf_dir), schema)
-    good = F.col(messages.CORRUPT).isNull()
-    kind = F.when(good, "good").otherwise("corrupt").alias("kind")
-    return parsed.groupBy("kafka_partition", kind).agg(
-        F.count("*").alias("records"),
-        F.sum(F.when(good, F.col("k"))).alias("k_sum"),
-        F.sum("kafka_offset").alias("offsets"),
+def batch_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records by batch against the manifest: every batch is there under its id, with its count."""
+    base = inputs.ingested_base(spark, sf_dir)
+    held = ingest.read_batches(spark, base).groupBy("batch_id").agg(F.count("*").alias("held"))
+    said = ingest.read_manifest(spark, base).select("batch_id", "record_count")
+    return said.join(held, "batch_id", "full").agg(
+        F.count_if(~F.col("held").eqNullSafe(F.col("record_count"))).alias("wrong_batches"),
+        (F.count("*") - F.countDistinct("batch_id")).alias("doubled_ids"),
+        F.sum("held").alias("records"),
     )
 
 
@@ -182,19 +188,16 @@ def success_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def corrupt_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Good and quarantined messages per key, and a checksum over the good ones."""
+    """Good and undecodable messages per partition, and a checksum over the good ones."""
     schema = T.StructType([T.StructField("k", T.LongType())])
     parsed = messages.parse_messages(inputs.damaged_event_messages(spark, sf_dir), schema)
-    good, bad = messages.split_corrupt(parsed)
-    good = good.groupBy("kafka_partition").agg(
-        F.count("*").alias("records"), F.sum("k").alias("k_sum"), F.sum("kafka_offset").alias("offsets")
-    )
-    bad = bad.groupBy("kafka_partition").agg(
+    good = F.col(messages.CORRUPT).isNull()
+    kind = F.when(good, "good").otherwise("corrupt").alias("kind")
+    return parsed.groupBy("kafka_partition", kind).agg(
         F.count("*").alias("records"),
-        F.lit(None).cast("bigint").alias("k_sum"),
+        F.sum(F.when(good, F.col("k"))).alias("k_sum"),
         F.sum("kafka_offset").alias("offsets"),
     )
-    return good.withColumn("kind", F.lit("good")).unionByName(bad.withColumn("kind", F.lit("corrupt")))
 
 
 def message_payloads(raw: DataFrame) -> DataFrame:
@@ -277,12 +280,25 @@ def time_texts(events: DataFrame) -> DataFrame:
 
 
 def training_sample(d: DataFrame) -> DataFrame:
-    return rows.cap_training_rows(d, 1_000).select("record_id", "total_charges")
+    """Facts of a sample of about a third: within five deviations, without repeats, same rows again."""
+    wanted = d.agg(F.floor(F.count("*") / 3).alias("n")).first()["n"]
+    sample, again = (rows.cap_training_rows(d, wanted).select("record_id") for _ in range(2))
+    total, share = F.lit(float(3 * wanted)), 1 / 3
+    facts = sample.agg(
+        (F.abs(F.count("*") - wanted) <= 5 * F.sqrt(total * share * (1 - share))).alias("size_fits"),
+        (F.count("*") == F.countDistinct("record_id")).alias("no_repeats"),
+    )
+    return facts.withColumn("repeatable", sample.exceptAll(again).agg(F.count("*") == 0).scalar())
 
 
 def holdout_split(d: DataFrame) -> DataFrame:
-    return d.groupBy(rows.in_holdout().alias("holdout")).agg(
-        F.count("*").alias("records"), F.min("record_id").alias("first_id")
+    """Facts of the split: complete, disjoint, and about one row in ten held out."""
+    training, held_out = rows.split_holdout(d.select("record_id"))
+    parts = training.withColumn("held", F.lit(0)).union(held_out.withColumn("held", F.lit(1)))
+    return parts.agg(
+        F.count("*").alias("records"),
+        F.countDistinct("record_id").alias("ids"),
+        F.avg("held").between(0.08, 0.12).alias("tenth_held_out"),
     )
 
 
@@ -318,7 +334,7 @@ def view_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def file_query(fmt: str, sql: str, limit: int = query.DEFAULT_LIMIT) -> Query:
+def file_query(fmt: str, sql: str, limit: int | None = None) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = inputs.lake_files(spark, sf_dir)[fmt]
         return query.query_file(spark, path, sql, "auto", limit, RAW_SCHEMA if fmt == "csv" else None)
@@ -340,12 +356,16 @@ def free_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def default_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The cap holds although the text has the word limit in it; the rows are counted."""
+    """All rows without a limit, although the text has the word in it; as many as named with one."""
     processed = inputs.processed_zone(spark, sf_dir)
-    capped = query.query_frame(processed, "SELECT record_id AS limit_id FROM {table};")
-    clamped = query.query_frame(processed, "SELECT record_id FROM {table} LIMIT 50000", 50_000)
-    return capped.agg(F.count("*").alias("default_rows")).withColumn(
-        "most_rows", clamped.agg(F.count("*")).scalar()
+    whole = query.query_frame(processed, "SELECT record_id AS limit_id FROM {table};")
+    named = query.query_frame(processed, "SELECT record_id FROM {table}", 1_000)
+    own = query.query_frame(processed, "SELECT record_id FROM {table} LIMIT 1200")
+    return whole.agg(F.count("*").alias("all_rows")).withColumns(
+        {
+            "named_rows": named.agg(F.count("*")).scalar(),
+            "own_rows": own.agg(F.count("*")).scalar(),
+        }
     )
 
 
@@ -361,26 +381,81 @@ def feature_rows(d: DataFrame) -> DataFrame:
     )
 
 
+def feature_values(d: DataFrame) -> DataFrame:
+    """Scaled numbers of every row, and the sum of its scaled indicators."""
+    ready = prepare(d)
+    scaled = feature_pipeline(d.columns).fit(ready).transform(ready)
+    values = scaled.select("record_id", vector_to_array("scaled_features").alias("v"))
+    numbers = [F.col("v")[i].alias(f"{name}_scaled") for i, name in enumerate(NUMERIC_FEATURES)]
+    rest = F.slice("v", len(NUMERIC_FEATURES) + 1, F.size("v"))
+    indicators = F.aggregate(rest, F.lit(0.0), lambda total, x: total + x)
+    return values.select("record_id", *numbers, indicators.alias("indicators"))
+
+
 def model_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return leaderboard(spark, inputs.trained_base(spark, sf_dir)[1])
+    """Per target: two algorithms tried, and the kept one has the lower of two finite errors."""
+    trained = inputs.trained_base(spark, sf_dir)[1]
+    kept = leaderboard(spark, trained)
+    scores = spark.createDataFrame(
+        [(t.target, rmse) for t in trained for rmse in t.scores.values()], "target_column string, score double"
+    )
+    lowest = scores.groupBy("target_column").agg(F.min("score").alias("lowest"), F.max("score").alias("highest"))
+    return kept.join(lowest, "target_column").select(
+        "target_column",
+        F.col("models_tried"),
+        (F.col("rmse") == F.col("lowest")).alias("lowest_kept"),
+        ((F.col("lowest") > 0) & (F.col("highest") < float("inf"))).alias("finite"),
+    )
 
 
 def model_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return list_models(spark, inputs.trained_base(spark, sf_dir)[0])
+    """Every saved model under its name, with a known algorithm and as many features as it was trained on."""
+    listed = list_models(spark, inputs.trained_base(spark, sf_dir)[0])
+    return listed.select(
+        "model_name",
+        "target_column",
+        "feature_count",
+        F.col("model_type").isin(*ALGORITHMS).alias("known_type"),
+        F.col("training_timestamp").isNotNull().alias("dated"),
+    )
 
 
 def holdout_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loaded models' errors on the held-out rows against the ones stored at training."""
     _, holdout = rows.split_holdout(prepare(inputs.processed_zone(spark, sf_dir)))
     labels = {f"{numeric_target(t)}_model": t for t in TARGETS}
-    models = inputs.saved_models(spark, sf_dir)
-    return rmse_by_model(holdout, models, labels)
+    base, _ = inputs.trained_base(spark, sf_dir)
+    found = rmse_by_model(holdout, inputs.saved_models(spark, sf_dir), labels)
+    stored = registry(spark, base).select(F.col("model_name").alias("model"), F.col("rmse").alias("stored"))
+    close = F.abs(F.col("rmse") - F.col("stored")) <= 1e-6 * F.col("stored")
+    return found.join(stored, "model").select("model", (F.col("rows_scored") > 0).alias("scored"), close.alias("as_stored"))
+
+
+def prediction_facts(scored: DataFrame) -> DataFrame:
+    """Per model: its rows, how many requests they stand for, finite predictions and errors."""
+    finite = F.col("prediction").isNotNull() & (F.abs("prediction") < float("inf"))
+    return scored.groupBy("model").agg(
+        F.count("*").alias("rows_scored"),
+        F.countDistinct("request_id").alias("requests"),
+        F.count_if(finite).alias("finite"),
+        F.count("error").alias("errors"),
+    )
 
 
 def batch_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = requests.decode_requests(inputs.request_bodies(spark, sf_dir))
     base, _ = inputs.trained_base(spark, sf_dir)
     scored, _ = score_smart(decoded, inputs.saved_models(spark, sf_dir), registry(spark, base))
-    return scored.drop("timestamp")
+    return prediction_facts(scored)
+
+
+def isolated_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One model more, which fails while it runs: its rows carry an error, the others score."""
+    decoded = requests.decode_requests(inputs.request_bodies(spark, sf_dir))
+    accepted, _ = requests.split_requests(decoded)
+    failing = SQLTransformer(statement="SELECT *, CAST(raise_error('broken on purpose') AS DOUBLE) AS prediction FROM __THIS__")
+    models = {"failing_model": PipelineModel([failing]), **inputs.saved_models(spark, sf_dir)}
+    return prediction_facts(score_isolated(requests.smart_fill(accepted), models, scratch_path(spark, "scores")))
 
 
 def county_group_count(d: DataFrame) -> DataFrame:
@@ -439,6 +514,8 @@ QUERIES: dict[str, Query] = {
     "main_file": main_file,
     "lake_inventory": lake_inventory,
     "data_gate": data_gate,
+    "unfinished_attempt": unfinished_attempt,
+    "reordered_csv": reordered_csv,
     "exported_csv": exported_csv,
     # row cleaning
     "sanitise": over_events(sanitised),
@@ -471,6 +548,8 @@ QUERIES: dict[str, Query] = {
     "ingested_csv": ingested_records("csv"),
     "ingest_manifest": ingest_manifest,
     "ingested_volume": ingested_volume,
+    "running_statistics": running_statistics,
+    "batch_ids": batch_ids,
     # requests and lookups
     "drg_lookup": over_raw(drg_lookup),
     "drg_descriptions": over_raw(drg_descriptions),
@@ -479,8 +558,10 @@ QUERIES: dict[str, Query] = {
     "smart_fill": over_requests(requests.smart_fill),
     # models
     "feature_rows": over_processed(feature_rows),
+    "feature_values": over_processed(feature_values),
     "model_leaderboard": model_leaderboard,
     "model_listing": model_listing,
     "holdout_rmse": holdout_rmse,
     "batch_predictions": batch_predictions,
+    "isolated_predictions": isolated_predictions,
 }

@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 
 from wardlake.models.registry import load_models, save_model
 from wardlake.models.training import train_all
-from wardlake.plans.discharges import discharges, raw_discharges, table
+from wardlake.plans.discharges import discharges, raw_discharges, table, to_processed
 from wardlake.session import scratch_path
 from wardlake.sources.lake import export_csv
 from wardlake.sources.messages import read_stream, to_messages, write_messages
 from wardlake.sources.zones import read_processed, write_processed
 from wardlake.streaming import reports
-from wardlake.streaming.ingest import ingest
+from wardlake.streaming.ingest import ingest, read_batches, write_batch
 
 # One request body per discharge, as JSON: some without a group code, some with a code in quotes,
 # supplied texts, explicit nulls, unreadable weights, and always a key nobody knows.
@@ -44,7 +44,8 @@ SELECT
 FROM {discharges}
 """
 
-MESSAGE_FILES = 4
+# Micro-batch size of the registered streams; files are as many as the input's partitions.
+BATCH_BYTES = str(64 << 20)
 TOPIC = "discharges"
 
 
@@ -105,7 +106,48 @@ def damaged_event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @once_per_application
+def ingested(spark: SparkSession, sf_dir: str):
+    """The folder of ingested_base, and the drained query."""
+    return _ingest(spark, sf_dir)
+
+
 def ingested_base(spark: SparkSession, sf_dir: str) -> str:
+    return ingested(spark, sf_dir)[0]
+
+
+@once_per_application
+def ingested_zone(spark: SparkSession, sf_dir: str) -> str:
+    """The processed zone of the ingested records, in a folder of its own."""
+    base = scratch_path(spark, "ingested-zone")
+    write_processed(to_processed(read_batches(spark, ingested_base(spark, sf_dir))), base)
+    return base
+
+
+@once_per_application
+def damaged_lake(spark: SparkSession, sf_dir: str) -> str:
+    """Raw records in two finished batches, and a third attempt without a manifest row."""
+    base = scratch_path(spark, "attempts")
+    raw = raw_discharges(spark, sf_dir)
+    for batch in (0, 1):
+        write_batch(raw.filter(F.col("record_id") % 2 == batch), batch, base)
+    folder = f"{base}/raw/json/year=1999/month=01/batch_id=2"
+    raw.write.option("ignoreNullFields", False).json(folder)
+    return base
+
+
+@once_per_application
+def reordered_files(spark: SparkSession, sf_dir: str) -> list[str]:
+    """The raw relation in two CSV datasets whose columns stand in opposite order."""
+    base = scratch_path(spark, "reordered")
+    raw = raw_discharges(spark, sf_dir)
+    paths = []
+    for part, names in enumerate((raw.columns, raw.columns[::-1])):
+        own = raw.filter(F.col("record_id") % 2 == part).select(*names)
+        paths.append(export_csv(own, f"{base}/part{part}.csv"))
+    return paths
+
+
+def _ingest(spark: SparkSession, sf_dir: str):
     """All discharges sent as messages, some damaged, and ingested by a drained stream."""
     base = scratch_path(spark, "ingest")
     number = F.substring_index("key", "_", -1).cast("bigint")
@@ -118,10 +160,11 @@ def ingested_base(spark: SparkSession, sf_dir: str) -> str:
         number.alias("offset"),
         F.timestamp_seconds(number + 1_704_067_200).alias("timestamp"),
     )
-    write_messages(sent.repartition(MESSAGE_FILES, "key"), TOPIC, "parquet", path=f"{base}/{TOPIC}")
-    messages = read_stream(spark, "parquet", path=f"{base}/{TOPIC}", maxFilesPerTrigger="1")
-    ingest(messages, base, drain=True).awaitTermination()
-    return base
+    write_messages(sent, TOPIC, "parquet", path=f"{base}/{TOPIC}")
+    messages = read_stream(spark, "parquet", path=f"{base}/{TOPIC}", maxBytesPerTrigger=BATCH_BYTES)
+    query = ingest(messages, base, drain=True)
+    query.awaitTermination()
+    return base, query
 
 
 @once_per_application
@@ -132,8 +175,8 @@ def timeline_base(spark: SparkSession, sf_dir: str) -> str:
     """
     base = scratch_path(spark, "timeline")
     sent = event_messages(spark, sf_dir).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
-    write_messages(sent.repartition(MESSAGE_FILES, "offset"), "events", "parquet", path=f"{base}/events")
-    messages = read_stream(spark, "parquet", path=f"{base}/events", maxFilesPerTrigger="1")
+    write_messages(sent, "events", "parquet", path=f"{base}/events")
+    messages = read_stream(spark, "parquet", path=f"{base}/events", maxBytesPerTrigger=BATCH_BYTES)
     reports.stream_timeline(messages, base, "timestamp", late="60 days").awaitTermination()
     return base
 

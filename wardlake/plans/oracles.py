@@ -142,6 +142,28 @@ def _smart_fill() -> str:
     )
 
 
+def _predictions() -> str:
+    """Rows per model: one for every request that names a group code."""
+    return (
+        f"{WITH_RAW}, requests AS ({REQUEST_SQL.format(discharges='raw')}), accepted AS (SELECT request_id "
+        "FROM requests WHERE list_contains(json_keys(body), 'drg_code')) "
+        "SELECT target || '_numeric_model' AS model, COUNT(*) AS rows_scored, "
+        "COUNT(DISTINCT request_id) AS requests, COUNT(*) AS finite, CAST(0 AS BIGINT) AS errors "
+        f"FROM accepted CROSS JOIN {_values([(t,) for t in TARGETS], ['target'])} GROUP BY target"
+    )
+
+
+def _feature_values() -> str:
+    """Numbers over their sample deviation; an indicator's deviation follows from its share."""
+    numbers = ", ".join(
+        f"ROUND(COALESCE({c}, 0) / STDDEV_SAMP(COALESCE({c}, 0)) OVER (), 4) AS {c}_scaled" for c in NUMERIC_FEATURES
+    )
+    share = "(COUNT(*) OVER (PARTITION BY COALESCE({c}, 'Unknown')) * 1.0 / COUNT(*) OVER ())"
+    one = "1 / SQRT({s} * (1 - {s}) * COUNT(*) OVER () / (COUNT(*) OVER () - 1))"
+    total = " + ".join(one.format(s=share.format(c=c)) for c in CATEGORICALS)
+    return _d(f"SELECT record_id, {numbers}, ROUND({total}, 4) AS indicators FROM d")
+
+
 DAMAGED = "event_id % 40 = 0"
 NUMBERED_EVENTS = "(SELECT *, ROW_NUMBER() OVER (ORDER BY event_id) - 1 AS record_no FROM events)"
 BATCHED_EVENTS = (
@@ -297,7 +319,7 @@ ORACLES: dict[str, str] = {
         "WHERE patient_disposition = 'Expired' GROUP BY age_group, gender"
     ),
     "default_limit": _raw(
-        "SELECT LEAST(COUNT(*), 1000) AS default_rows, LEAST(COUNT(*), 10000) AS most_rows FROM raw"
+        "SELECT COUNT(*) AS all_rows, LEAST(COUNT(*), 1000) AS named_rows, LEAST(COUNT(*), 1200) AS own_rows FROM raw"
     ),
     **{
         name: _raw(_file_facts())
@@ -308,6 +330,9 @@ ORACLES: dict[str, str] = {
             "parquet_scan",
             "auto_format_scan",
             "lake_load",
+            "main_file",
+            "unfinished_attempt",
+            "reordered_csv",
         )
     },
     "lake_union": _raw(_file_facts("(SELECT * FROM raw UNION ALL SELECT * FROM raw) AS both_files")),
@@ -403,13 +428,52 @@ ORACLES: dict[str, str] = {
         for name in ("ingested_json", "ingested_csv")
     },
     "ingest_manifest": _raw(
-        "SELECT CAST(4 AS BIGINT) AS total_batches, "
-        "COUNT(*) FILTER (WHERE record_no % 101 <> 100) AS total_messages, "
-        "COUNT(*) FILTER (WHERE record_no % 101 = 100) AS errors, CAST(4 AS BIGINT) AS json_files, "
-        "CAST(4 AS BIGINT) AS csv_files, CAST(100.0 AS DOUBLE) AS success_rate, "
+        "SELECT COUNT(*) FILTER (WHERE record_no % 101 <> 100) AS total_messages, "
+        "COUNT(*) FILTER (WHERE record_no % 101 = 100) AS errors, TRUE AS all_saved, "
+        "CAST(100.0 AS DOUBLE) AS success_rate, "
         f"{HEALTH.format('COUNT(*) FILTER (WHERE record_no % 101 = 100)')} AS health "
         f"FROM {NUMBERED_RAW}"
     ),
+    "running_statistics": _raw(
+        "SELECT COUNT(*) FILTER (WHERE record_no % 101 <> 100) AS total_messages, "
+        "COUNT(*) FILTER (WHERE record_no % 101 = 100) AS errors, 'stopped' AS status, "
+        "CAST(10 AS DOUBLE) AS uptime_seconds, "
+        "ROUND(COUNT(*) FILTER (WHERE record_no % 101 <> 100) / 10.0, 4) AS messages_per_second, "
+        f"{HEALTH.format('COUNT(*) FILTER (WHERE record_no % 101 = 100)')} AS health FROM {NUMBERED_RAW}"
+    ),
+    "batch_ids": _raw(
+        "SELECT CAST(0 AS BIGINT) AS wrong_batches, CAST(0 AS BIGINT) AS doubled_ids, "
+        f"COUNT(*) AS records FROM {NUMBERED_RAW} WHERE record_no % 101 <> 100"
+    ),
+    "lake_inventory": (
+        "SELECT 'discharges.' || format AS zone, format, TRUE AS has_files, TRUE AS has_bytes "
+        "FROM (VALUES ('csv'), ('json'), ('parquet')) AS f(format)"
+    ),
+    "data_gate": (
+        "SELECT zone, format, TRUE AS has_files, TRUE AS has_bytes "
+        "FROM (VALUES ('csv', 'csv'), ('json', 'json'), ('manifest', 'json')) AS f(zone, format)"
+    ),
+    "training_sample": "SELECT TRUE AS size_fits, TRUE AS no_repeats, TRUE AS repeatable",
+    "holdout_split": _d("SELECT COUNT(*) AS records, COUNT(*) AS ids, TRUE AS tenth_held_out FROM d"),
+    "model_leaderboard": (
+        f"SELECT target || '_numeric' AS target_column, CAST(2 AS BIGINT) AS models_tried, "
+        f"TRUE AS lowest_kept, TRUE AS finite FROM {_values([(t,) for t in TARGETS], ['target'])}"
+    ),
+    "model_listing": (
+        "SELECT target || '_numeric_model' AS model_name, target || '_numeric' AS target_column, "
+        f"CAST({len(CATEGORICALS) + len(NUMERIC_FEATURES)} AS INT) AS feature_count, TRUE AS known_type, "
+        f"TRUE AS dated FROM {_values([(t,) for t in TARGETS], ['target'])}"
+    ),
+    "holdout_rmse": (
+        "SELECT target || '_numeric_model' AS model, TRUE AS scored, TRUE AS as_stored "
+        f"FROM {_values([(t,) for t in TARGETS], ['target'])}"
+    ),
+    "batch_predictions": _predictions(),
+    "isolated_predictions": (
+        f"{_predictions()} UNION ALL SELECT 'failing_model' AS model, COUNT(*) AS rows_scored, "
+        "COUNT(*) AS requests, CAST(0 AS BIGINT) AS finite, COUNT(*) AS errors FROM accepted"
+    ),
+    "feature_values": _feature_values(),
     "ingested_volume": _d(
         f"SELECT hospital_county, COUNT(*) AS patient_count, ROUND(AVG(total_charges), 5) AS avg_charges, "
         f"ROUND(AVG(length_of_stay), 5) AS avg_length_of_stay FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY record_id) - 1 "

@@ -15,8 +15,6 @@ def build_session(app_name: str = "wardlake", **conf: str) -> SparkSession:
     """A session with the settings the jobs assume; cluster sizing is left to spark-submit."""
     builder = (
         SparkSession.builder.appName(app_name)
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
         # also the size of the files a rebalanced write leaves
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256m")
         # the JVM does not compile longer methods; Spark then splits wide projections instead

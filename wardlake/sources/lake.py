@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+import re
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardlake.schema import RAW_SCHEMA
+from wardlake.schema import MANIFEST_SCHEMA, RAW_SCHEMA
 
 # Names that mark files which are not data.
 MANIFEST_SUFFIX = "metadata.json"
 MANIFEST_FOLDER = "/manifest/"
 CSV_OPTIONS = {"header": True, "escape": '"'}
 PLACEHOLDER_SUFFIX = ".placeholder"
+# Compressed files are read like plain ones.
+PACKED = "gz,bz2,zst,lz4,snappy,deflate"
+DATA_FILE = r"\.(json|csv)(\.(" + PACKED.replace(",", "|") + r"))?$"
+# The folder of an ingested batch, which counts only with a manifest row.
+BATCH_FOLDER = r"(raw/(?:json|csv)/year=[^/]+/month=[^/]+/batch_id=[^/]+)/"
 
 
 def file_format(path: str, fmt: str = "csv") -> str:
@@ -45,17 +51,37 @@ def read_lake(
     if fmt == "json":
         return reader.option("multiLine", multi_line).json(paths)
     if schema is not None:
-        return read_csv_by_name(spark, paths, schema)
-    return spark.read.options(**CSV_OPTIONS).option("inferSchema", True).csv(paths)
+        groups = [read_csv_by_name(spark, group, schema) for group in same_header(spark, paths)]
+    else:
+        by_name = spark.read.options(**CSV_OPTIONS, enforceSchema=False, inferSchema=True)
+        groups = [by_name.csv(group) for group in same_header(spark, paths)]
+    return union_files(groups)
+
+
+def same_header(spark: SparkSession, paths: list[str]) -> list[list[str]]:
+    """The named CSV paths grouped by their header line, in order of appearance.
+
+    Files below one path share a header; where they do not, the read ends with an error.
+    """
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        header = spark.read.options(**CSV_OPTIONS).csv(path).columns if len(paths) > 1 else ()
+        groups.setdefault(tuple(header), []).append(path)
+    return list(groups.values())
 
 
 def read_csv_by_name(
-    spark: SparkSession, paths: list[str], schema: T.StructType, **options
+    spark: SparkSession,
+    paths: list[str],
+    schema: T.StructType,
+    with_path: str | None = None,
+    **options,
 ) -> DataFrame:
     """CSV columns matched to the schema by header, whatever their order in the files.
 
     Only one header line is read up front. A file whose header differs from it is an error, not a
-    silent shift of columns. Columns the files lack are null.
+    silent shift of columns. Columns the files lack are null. `with_path` names a column for the path
+    of each row's file.
     """
     reader = spark.read.options(**CSV_OPTIONS, **options).option("enforceSchema", False)
     text = reader.csv(paths)
@@ -65,7 +91,8 @@ def read_csv_by_name(
             .try_cast(f.dataType)
             .alias(f.name)
             for f in schema
-        ]
+        ],
+        *([F.col("_metadata.file_path").alias(with_path)] if with_path else []),
     )
 
 
@@ -89,7 +116,15 @@ def list_files(spark: SparkSession, base: str) -> DataFrame:
 
 def _is_data(path: Column) -> Column:
     manifest = path.endswith(MANIFEST_SUFFIX) | path.contains(MANIFEST_FOLDER)
-    return path.rlike(r"\.(json|csv)$") & ~manifest
+    return path.rlike(DATA_FILE) & ~manifest
+
+
+def _manifested(spark: SparkSession, base: str, records: DataFrame, path: Column) -> DataFrame:
+    """Records outside of batch folders, and those of batches with a manifest row."""
+    rows = spark.read.schema(MANIFEST_SCHEMA).json(f"{unquote(base).rstrip('/')}{MANIFEST_FOLDER}")
+    done = rows.select(F.explode(F.array("json_path", "csv_path", F.lit(""))).alias("_done")).distinct()
+    folder = F.regexp_extract(path, BATCH_FOLDER, 1)
+    return records.withColumn("_folder", folder).join(done, F.col("_folder") == F.col("_done"), "left_semi")
 
 
 def load_raw(
@@ -98,27 +133,45 @@ def load_raw(
     schema: T.StructType = RAW_SCHEMA,
     multi_line: bool = False,
 ) -> DataFrame:
-    """All raw records below `base`: JSON files if there are any, else CSV. No file or row caps."""
+    """All raw records below `base`: JSON files if there are any, else CSV, plain or compressed.
+
+    If the ingest has left manifests below `base`, only its manifested batches count, so an attempt
+    that did not finish adds nothing. There are no file or row caps.
+    """
+    data = _is_data(F.col("path"))
     kinds = list_files(spark, base).agg(
-        F.count_if(F.col("path").endswith(".json") & _is_data(F.col("path"))).alias("json"),
-        F.count_if(F.col("path").endswith(".csv")).alias("csv"),
+        F.count_if(F.col("path").rlike(r"\.json(\.|$)") & data).alias("json"),
+        F.count_if(F.col("path").rlike(r"\.csv(\.|$)") & data).alias("csv"),
+        F.count_if(F.col("path").contains(MANIFEST_FOLDER)).alias("manifests"),
     )
     found = kinds.first()
     fmt = "json" if found["json"] else "csv"
     if not found[fmt]:
         raise FileNotFoundError(f"no data files below {base}")
-    below = {"recursiveFileLookup": True, "pathGlobFilter": f"*.{fmt}"}
+    below = {"recursiveFileLookup": True, "pathGlobFilter": f"*.{fmt}{{,.{PACKED.replace(',', ',.')}}}"}
+    path = F.col("_metadata.file_path")
     if fmt == "csv":
-        return read_csv_by_name(spark, [base], schema, **below)
-    records = spark.read.schema(schema).options(**below).option("multiLine", multi_line).json(base)
-    return records.filter(_is_data(F.col("_metadata.file_path"))).select(*schema.fieldNames())
+        records = read_csv_by_name(spark, [base], schema, with_path="_path", **below)
+        path = F.col("_path")
+    else:
+        records = spark.read.schema(schema).options(**below).option("multiLine", multi_line).json(base)
+        records = records.filter(_is_data(path))
+    if found["manifests"]:
+        records = _manifested(spark, base, records, path)
+    return records.select(*schema.fieldNames())
 
 
 def pick_main_file(spark: SparkSession, folder: str) -> DataFrame:
-    """The largest CSV file in a folder, as one row of path and length."""
+    """The largest CSV dataset in a folder, as one row of path and length.
+
+    A dataset is a file, or a folder named `*.csv` with all the part files in it.
+    """
+    dataset = F.regexp_extract("path", r"(?i)^(.*?\.csv(?:\.[a-z0-9]+)?)(?:/|$)", 1)
     return (
         list_files(spark, folder)
-        .filter(F.lower("path").endswith(".csv"))
+        .filter(F.col("path").rlike(r"(?i)\.csv(\.[a-z0-9]+)?$"))
+        .groupBy(dataset.alias("path"))
+        .agg(F.sum("length").alias("length"))
         .orderBy(F.desc("length"), "path")
         .limit(1)
     )
@@ -132,7 +185,9 @@ def has_enough_data(spark: SparkSession, base: str, min_files: int = 3) -> bool:
 def lake_inventory(spark: SparkSession, base: str) -> DataFrame:
     """Files and bytes by zone (folder directly below `base`) and format, without placeholders."""
     suffix = F.regexp_extract("path", r"\.([A-Za-z0-9]+)$", 1)
-    below = F.substring_index("path", f"/{unquote(base).rstrip('/').rsplit('/', 1)[-1]}/", -1)
+    # the path of a file is the scheme, the base and what lies below it
+    start = re.sub(r"^[a-zA-Z0-9]+:/+", "", unquote(base).rstrip("/")).lstrip("/") + "/"
+    below = F.col("path").substr(F.locate(start, "path") + F.lit(len(start)), F.length("path"))
     zone = F.when(below.contains("/"), F.substring_index(below, "/", 1))
     return (
         list_files(spark, base)

@@ -121,9 +121,15 @@ def read_batches(
         records = read_csv_by_name(spark, [path], zones)
     else:
         records = spark.read.schema(zones).json(path)
-    manifest = read_manifest(spark, base).select(F.col(f"{fmt}_path").alias("_folder"))
-    month = F.lpad("month", 2, "0")
-    folder = F.concat(
-        F.lit(f"raw/{fmt}/year="), "year", F.lit("/month="), month, F.lit("/batch_id="), "batch_id"
+    part = f"^raw/{fmt}/year=([^/]+)/month=([^/]+)/batch_id=([^/]+)$"
+    done = read_manifest(spark, base).select(
+        *[F.regexp_extract(f"{fmt}_path", part, i).alias(f"_{f.name}") for i, f in enumerate(folders, 1)]
     )
-    return records.withColumn("month", month).join(manifest, folder == F.col("_folder"), "left_semi")
+    # on the partition columns themselves, so folders without a manifest row need not be opened
+    same = (
+        (F.col("year") == F.col("_year"))
+        & (F.lpad("month", 2, "0") == F.col("_month"))
+        & (F.col("batch_id") == F.col("_batch_id"))
+    )
+    found = records.join(done, same, "left_semi")
+    return found.withColumn("month", F.lpad("month", 2, "0"))

@@ -40,20 +40,27 @@ def windowed_counts(messages: DataFrame, ts: str, width: str = "1 hour") -> Data
 def rate_timeline(messages: DataFrame, ts: str, width: str = "1 hour") -> DataFrame:
     """Per window: messages, rate, and the running total.
 
-    The running total is taken over one row per window, after the messages have been counted.
+    The running total has two levels: within each day, side by side, and over the days, of which
+    there is one row each. Both read the same counted windows.
     """
-    so_far = Window.orderBy("window_start").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+    counted = windowed_counts(messages, ts, width).withColumn("day", F.to_date("window_start"))
+    within = Window.partitionBy("day").orderBy("window_start")
+    so_far = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    days = (
+        counted.groupBy("day")
+        .agg(F.sum("messages").alias("of_day"))
+        .select(F.col("day"), F.coalesce(F.sum("of_day").over(earlier), F.lit(0)).alias("before"))
     )
     seconds = (
         F.unix_micros(F.col("window_end").cast("timestamp"))
         - F.unix_micros(F.col("window_start").cast("timestamp"))
     ) / 1e6
-    return windowed_counts(messages, ts, width).select(
+    return counted.withColumn("inside", F.sum("messages").over(so_far)).join(days, "day").select(
         "window_start",
         "messages",
         guarded_rate(F.col("messages"), seconds).alias("messages_per_second"),
-        F.sum("messages").over(so_far).alias("total_messages"),
+        (F.col("before") + F.col("inside")).alias("total_messages"),
     )
 
 
@@ -91,18 +98,20 @@ def read_timeline(spark: SparkSession, base: str) -> DataFrame:
 
 def freshness_report(messages: DataFrame, key: str, ts: str, is_error) -> DataFrame:
     """Per stream key: newest message, its age against the newest of all, errors and health."""
-    newest = messages.agg(F.max(ts).alias("newest")).scalar()
+    by_key = messages.groupBy(key).agg(
+        F.count("*").alias("messages"),
+        F.max(ts).alias("last_message_time"),
+        F.count_if(is_error).alias("errors"),
+    )
+    # with all columns in the maximum, it reads the same grouped rows and not the messages again
+    whole = F.max(F.struct("last_message_time", "messages", "errors"))
+    newest = by_key.agg(whole.alias("newest")).select("newest.last_message_time").scalar()
 
     def micros(c):
         return F.unix_micros(c.cast("timestamp"))
 
     return (
-        messages.groupBy(key)
-        .agg(
-            F.count("*").alias("messages"),
-            F.max(ts).alias("last_message_time"),
-            F.count_if(is_error).alias("errors"),
-        )
+        by_key
         .withColumn("age_seconds", (micros(newest) - micros(F.col("last_message_time"))) / 1e6)
         .withColumn("freshness", freshness(F.col("age_seconds")))
         .withColumn("health", health(F.col("errors")))
