@@ -118,15 +118,56 @@ def test_gate_and_inventory(spark, folder):
     assert inventory == [("processed", "txt", 1), ("raw", "csv", 1), ("raw", "json", 2)]
 
 
-def test_limit_holds_whatever_the_text_says(spark):
-    df = spark.range(12000).withColumnRenamed("id", "limit_id")
-    assert query.query_frame(df).count() == 1000
-    assert query.query_frame(df, "SELECT limit_id FROM {table};").count() == 1000
-    assert query.query_frame(df, "SELECT * FROM (SELECT * FROM {table} LIMIT 11000) x").count() == 1000
-    assert query.query_frame(df, "SELECT * FROM {table}", 99999).count() == 10000
-    assert query.query_frame(df, "SELECT * FROM {table} LIMIT 11000").count() == 10000
+def test_no_limit_unless_named(spark):
+    df = spark.range(52000).withColumnRenamed("id", "limit_id")
+    assert query.query_frame(df).count() == 52000
+    assert query.query_frame(df, "SELECT limit_id FROM {table};").count() == 52000
+    assert query.query_frame(df, "SELECT * FROM (SELECT * FROM {table} LIMIT 11000) x").count() == 11000
+    assert query.query_frame(df, "SELECT * FROM {table}", 51000).count() == 51000
+    assert query.query_frame(df, "SELECT * FROM {table} LIMIT 51000").count() == 51000
     assert query.query_frame(df, "SELECT * FROM {table} limit 2500 OFFSET 3 ;").count() == 2500
-    assert query.query_frame(df, "SELECT * FROM {table} LIMIT 7").count() == 7
+    assert query.query_frame(df, limit=7).count() == 7
+
+
+def test_compressed_files_are_loaded(spark, folder):
+    relation(spark, 5).write.json(f"{folder}/raw/plain")
+    relation(spark, 7).write.option("compression", "gzip").json(f"{folder}/raw/packed")
+    assert lake.load_raw(spark, f"{folder}/raw", relation(spark).schema).count() == 12
+
+
+def test_unfinished_attempt_is_not_loaded(spark, folder):
+    from wardlake.streaming.ingest import write_batch
+
+    write_batch(relation(spark, 6), 0, folder)
+    relation(spark, 6).write.json(f"{folder}/raw/json/year=2024/month=06/batch_id=1")
+    for base in (folder, f"{folder}/raw"):
+        assert lake.load_raw(spark, base, relation(spark).schema).count() == 6
+
+
+def test_csv_columns_go_by_name_in_any_order(spark, folder):
+    spark.createDataFrame([(1, "a")], "x int, y string").write.option("header", True).csv(f"{folder}/one")
+    spark.createDataFrame([("b", 2)], "y string, x int").write.option("header", True).csv(f"{folder}/two")
+    paths = [f"{folder}/one", f"{folder}/two"]
+    for schema in (None, lake.T.StructType.fromDDL("x int, y string")):
+        got = lake.read_lake(spark, paths, "csv", schema).select("x", "y").orderBy("x").collect()
+        assert [tuple(r) for r in got] == [(1, "a"), (2, "b")]
+    with pytest.raises(Exception, match="(?i)header"):
+        lake.read_lake(spark, f"{folder}/{{one,two}}").collect()
+
+
+def test_zone_of_nested_folders(spark, folder):
+    relation(spark).write.option("header", True).csv(f"{folder}/raw/raw/x")
+    zones = {r.zone for r in lake.lake_inventory(spark, f"{folder}/raw").collect()}
+    assert zones == {"raw"}
+
+
+def test_main_file_is_a_dataset(spark, folder):
+    many = relation(spark, 9).repartition(9)
+    many.write.option("header", True).csv(f"{folder}/many.csv")
+    relation(spark, 2).coalesce(1).write.option("header", True).csv(f"{folder}/few.csv")
+    path = lake.pick_main_file(spark, folder).first()["path"]
+    assert path.endswith("/many.csv")
+    assert lake.read_lake(spark, path).count() == 9
 
 
 def test_braces_in_sql_are_left_alone(spark):

@@ -37,8 +37,23 @@ def test_one_model_per_target_with_the_lowest_rmse(trained):
 
 
 def test_stored_rmse_is_the_rmse_over_the_holdout(spark, sf_dir, trained):
-    again = {r.model: r.rmse for r in queries()["holdout_rmse"](spark, sf_dir).collect()}
-    assert again == pytest.approx({r.name: r.rmse for r in trained[1]}, rel=1e-9)
+    rows = queries()["holdout_rmse"](spark, sf_dir).collect()
+    assert {r.model for r in rows} == {r.name for r in trained[1]}
+    assert all(r.scored and r.as_stored for r in rows)
+
+
+def test_model_that_fails_while_running_stops_no_other(spark, folder):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import SQLTransformer
+
+    from wardlake.models.scoring import score_isolated
+
+    fine = SQLTransformer(statement="SELECT *, request_id * 2.0D AS prediction FROM __THIS__")
+    broken = SQLTransformer(statement="SELECT *, CAST(raise_error('no') AS DOUBLE) AS prediction FROM __THIS__")
+    models = {"broken": PipelineModel([broken]), "fine": PipelineModel([fine])}
+    rows = score_isolated(spark.range(3).withColumnRenamed("id", "request_id"), models, folder).collect()
+    assert sorted(r.prediction for r in rows if r.model == "fine") == [0.0, 2.0, 4.0]
+    assert [r.error is not None and r.prediction is None for r in rows if r.model == "broken"] == [True] * 3
 
 
 def test_first_of_equals_wins(spark):

@@ -41,3 +41,9 @@ def test_recent_is_newest_first(spark):
     df = spark.range(200).withColumn("ts", F.col("id") % 10)
     got = recent(df, "ts", "id", 3).collect()
     assert [r.id for r in got] == [199, 189, 179]
+
+
+def test_a_record_without_an_id_is_refused(spark):
+    df = spark.createDataFrame([(1,), (None,), (3,)], "id bigint")
+    with pytest.raises(Exception, match="has no id"):
+        number_records(df, "id").collect()

@@ -1,10 +1,15 @@
 """Physical plans: what reaches the scan, what is broadcast, and what must not appear."""
 
+import inspect
+import re
+
 import pytest
-from __spark_entry__ import queries
 
-from wardlake.plans import catalogue, inputs
-from wardlake.plans.entries import drg_lookup, over_raw
+from wardlake.operators import numbering, profile
+from wardlake.plans import catalogue, entries, inputs
+from wardlake.plans.discharges import table
+from wardlake.plans.entries import QUERIES, drg_lookup, over_raw
+from wardlake.streaming import reports
 
 
 def plan(df) -> str:
@@ -18,12 +23,47 @@ def zone(spark, sf_dir):
     return inputs.processed_zone(spark, sf_dir)
 
 
-MODEL_QUERIES = {"model_leaderboard", "model_listing", "holdout_rmse", "batch_predictions", "feature_rows"}
+MODEL_QUERIES = {
+    "model_leaderboard",
+    "model_listing",
+    "holdout_rmse",
+    "batch_predictions",
+    "isolated_predictions",
+    "feature_rows",
+    "feature_values",
+}
+
+
+def test_no_definition_is_shadowed():
+    names = re.findall(r"^def (\w+)", inspect.getsource(entries), re.MULTILINE)
+    assert len(names) == len(set(names))
+
+
+def scans(df) -> int:
+    """Scans that run: a reused exchange reads nothing again."""
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return len(re.findall(r"FileScan parquet", text.split("== Initial Plan ==")[0]))
+
+
+def test_numbering_reads_twice_and_once_only_ids(spark, sf_dir):
+    assert scans(numbering.number_records(table(spark, sf_dir, "events"), "event_id")) <= 2
+
+
+def test_reports_read_once(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    assert scans(entries.corrupt_split(spark, sf_dir)) == 1
+    fresh = reports.freshness_report(events, "user_id", "ts", events["event_type"] == "error")
+    assert scans(fresh) <= 1 and "ReusedExchange" in fresh._jdf.queryExecution().executedPlan().toString()
+
+
+def test_column_profile_reads_twice(zone):
+    assert scans(profile.column_profile(zone)) == 2
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - MODEL_QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - MODEL_QUERIES))
 def test_no_python_and_no_cross_join(spark, sf_dir, name):
-    text = plan(queries()[name](spark, sf_dir))
+    text = plan(QUERIES[name](spark, sf_dir))
     for word in ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert word not in text, word
 

@@ -33,13 +33,14 @@ def number_records(
         )
 
     block = F.shiftright(F.col(order).cast("bigint"), block_bits)
-    # both uses of the sizes then have the same plan, and the second one reuses the first's shuffle
+    # With keys that cannot be null no join adds a filter of its own, so both uses of the sizes
+    # have the same plan, and the second one reuses the first's shuffle.
     sizes = (
         df.select(order)
         .filter(F.col(order).isNotNull())
-        .groupBy(block.alias("_block"))
+        .groupBy(F.coalesce(block, F.lit(0)).alias("_block"))
         .agg(F.count("*").alias("_rows"))
-        .withColumn("_range", F.shiftright("_block", range_bits))
+        .withColumn("_range", F.coalesce(F.shiftright("_block", range_bits), F.lit(0)))
     )
     ranges = (
         sizes.groupBy("_range")

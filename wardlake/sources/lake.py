@@ -119,9 +119,9 @@ def _is_data(path: Column) -> Column:
     return path.rlike(DATA_FILE) & ~manifest
 
 
-def _manifested(spark: SparkSession, base: str, records: DataFrame, path: Column) -> DataFrame:
+def _manifested(spark: SparkSession, folders: list[str], records: DataFrame, path: Column) -> DataFrame:
     """Records outside of batch folders, and those of batches with a manifest row."""
-    rows = spark.read.schema(MANIFEST_SCHEMA).json(f"{unquote(base).rstrip('/')}{MANIFEST_FOLDER}")
+    rows = spark.read.schema(MANIFEST_SCHEMA).option("recursiveFileLookup", True).json(folders)
     done = rows.select(F.explode(F.array("json_path", "csv_path", F.lit(""))).alias("_done")).distinct()
     folder = F.regexp_extract(path, BATCH_FOLDER, 1)
     return records.withColumn("_folder", folder).join(done, F.col("_folder") == F.col("_done"), "left_semi")
@@ -142,7 +142,8 @@ def load_raw(
     kinds = list_files(spark, base).agg(
         F.count_if(F.col("path").rlike(r"\.json(\.|$)") & data).alias("json"),
         F.count_if(F.col("path").rlike(r"\.csv(\.|$)") & data).alias("csv"),
-        F.count_if(F.col("path").contains(MANIFEST_FOLDER)).alias("manifests"),
+        # one folder per ingest
+        F.collect_set(F.regexp_extract("path", f"^(.*?{MANIFEST_FOLDER})", 1)).alias("manifests"),
     )
     found = kinds.first()
     fmt = "json" if found["json"] else "csv"
@@ -156,8 +157,8 @@ def load_raw(
     else:
         records = spark.read.schema(schema).options(**below).option("multiLine", multi_line).json(base)
         records = records.filter(_is_data(path))
-    if found["manifests"]:
-        records = _manifested(spark, base, records, path)
+    if manifests := [folder for folder in found["manifests"] if folder]:
+        records = _manifested(spark, manifests, records, path)
     return records.select(*schema.fieldNames())
 
 
