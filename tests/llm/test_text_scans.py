@@ -1,0 +1,229 @@
+"""Licences, decontamination, URL rules, secrets and quality against brute force."""
+
+import hashlib
+import random
+import re
+
+import pytest
+
+from wardlake.llm import decontaminate, licenses, quality, secrets, url_filter
+
+ODD = [(1, None), (2, ""), (3, "   \n\t"), (4, "x" * 300_000), (5, "ß é 漢 \U0001f600"), (None, "some words here"), (7, "a b"), (7, "a b")]
+
+
+def by_id(frame, key="doc_id"):
+    return sorted((r.asDict() for r in frame.collect()), key=lambda r: (r[key] is None, r[key] or 0, str(r)))
+
+
+# licences
+
+
+def test_license_sentences_become_licenses(documents):
+    bsd = (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted.\n"
+        "Redistributions of source code must retain the above copyright notice.\n"
+        "Redistributions in binary form must reproduce the above copyright notice.\n"
+    )
+    endorse = "Names may not endorse or promote products derived from this software without specific prior permission.\n"
+    rows = [
+        (1, "Intro. Licensed under the Apache License, Version 2.0.\nBody."),
+        (2, bsd),
+        (3, bsd + endorse),
+        (4, "THIS WORK IS LICENSED UNDER THE GNU GENERAL PUBLIC LICENSE, VERSION 3."),
+        (5, "It is free software; you read it. No licence here."),
+        (6, "Released under the MIT License.\nLicensed under CC BY-NC 4.0."),
+        (7, "Copyright 2020 X. All rights reserved."),
+    ]
+    got = {r.doc_id: r for r in licenses.scan(documents(rows)).collect()}
+    assert [got[i].licenses for i in range(1, 8)] == [
+        ["Apache-2.0"], ["BSD-2-Clause"], ["BSD-3-Clause"], ["GPL-3.0"], [], ["CC-BY-NC-4.0", "MIT"], []
+    ]
+    assert got[3].sentence_ids == ["bsdRedistribution", "bsdSource", "bsdBinary", "bsdEndorse"]
+
+
+def test_unmatched_sentences_are_reported(documents):
+    text = "Redistributions of source code must retain the above copyright notice."
+    row = licenses.scan(documents([(1, text)])).first()
+    assert (row.licenses, row.unmatched) == ([], ["bsdSource"])
+
+
+# decontamination
+
+
+def brute_contamination(docs, items, window=10):
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    words = lambda t: word.findall((t or "").encode().lower().decode())
+    out = []
+    for i, text in docs:
+        w, hit, names = words(text), set(), set()
+        for name, item in items:
+            own = words(item)
+            n = min(window, len(own))
+            for k in range(len(own) - n + 1 if n else 0):
+                for at in range(len(w) - n + 1):
+                    if w[at : at + n] == own[k : k + n]:
+                        hit.update(range(at, at + n))
+                        names.add(str(name))
+        out.append((i, len(w), len(hit), sorted(names), bool(hit)))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("large", [False, True])
+def test_contamination_equals_brute_force(spark, documents, monkeypatch, large):
+    if large:  # as if the windows were too many to broadcast
+        monkeypatch.setattr(decontaminate, "small", lambda frame, rows=0: False)
+        monkeypatch.setattr(decontaminate, "broadcast_if_small", lambda frame, rows=0: frame)
+    random.seed(3)
+    vocab = ["the", "of", "And", "rare", "x1", "é", "word"]
+    text = lambda n: " ".join(random.choice(vocab) for _ in range(n))
+    items = [(1, text(25)), (2, text(3)), (3, "Short"), (4, None), (5, ""), (6, "the the"), (7, "Short"), (None, text(12))]
+    docs = [(10 + k, text(40)) for k in range(6)] + [(20, "pre " + items[0][1] + " post"), (21, items[0][1][:-9]), (22, "short")] + ODD[:3] + ODD[4:]
+    got = decontaminate.contamination(documents(docs), spark.createDataFrame(items, "item_id bigint, text string"))
+    named = [(i, t) for i, t in items if i is not None]
+    rows = sorted(((r.doc_id, r.n_words, r.n_hit, r["items"], r.contaminated) for r in got.collect()), key=str)
+    expected = brute_contamination(docs, items)
+    assert [r[:3] + r[4:] for r in rows] == [r[:3] + r[4:] for r in expected]
+    assert [r[3] for r in rows] == [r[3] for r in brute_names(docs, named, expected)]
+
+
+def brute_names(docs, named, expected):
+    names = {str(r[0]) + str(r[1]): r for r in brute_contamination(docs, named)}
+    return [names[str(r[0]) + str(r[1])] for r in expected]
+
+
+def test_contamination_of_empty_tables(spark, documents):
+    items = spark.createDataFrame([], "item_id bigint, text string")
+    assert decontaminate.contamination(documents([(1, "a b")]), items).first().contaminated is False
+    one = spark.createDataFrame([(1, "a b")], "item_id bigint, text string")
+    assert decontaminate.contamination(documents([]), one).count() == 0
+    kept = decontaminate.drop_contaminated(documents([(1, "x a b"), (2, "a"), (None, "a b"), (3, None)]), one)
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["2", "3"]
+
+
+# URL rules
+
+
+def brute_verdict(url, rules, default="allow"):
+    m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
+    host, path = (m[1].encode().lower().decode(), m[2]) if m else ("", "")
+    best = None
+    for h, p, v in rules:
+        if (host == h or h == "" or host.endswith("." + h)) and path.startswith(p):
+            best = max(best or (-1,), (len(h + p), len(h), v, h + p))
+    return (host, path, best[3] if best else None, best[2] if best else default)
+
+
+def test_url_rules_equal_brute_force(spark):
+    random.seed(5)
+    labels = ["a", "b", "example", "example0", "net", "com", "x,y", ""]
+    host = lambda: ".".join(random.choice(labels) for _ in range(random.randint(1, 4)))
+    path = lambda: "".join(random.choice(["/", "/e", "/en/", "x", "é", "", "\U0010ffff"]) for _ in range(random.randint(0, 4)))
+    rules = {(host(), path()): random.choice(["allow", "block"]) for _ in range(60)}
+    rules |= {("net", "/"): "block", ("a.net", "/en/"): "allow"}
+    rules = [(h, p, v) for (h, p), v in rules.items()]
+    urls = [f"http://{random.choice([h, 'sub.' + h, host()]).upper()}{random.choice([p, p + 'z', path()])}{random.choice(['', '?q=/', '#f'])}" for h, p, _ in rules for _ in range(6)]
+    urls += [None, "", "no-scheme/net/", "https://", "://net/", "http://net", urls[0], urls[0]]
+    pages = spark.createDataFrame([(i, u, "k", "s") for i, u in enumerate(urls)], "page_id int, url string, key string, state string").repartition(4)
+    frame = spark.createDataFrame(rules, "host string, path string, verdict string")
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filter.judge(pages, frame).collect()}
+    wrong = [(u, got[i], brute_verdict(u, rules)) for i, u in enumerate(urls) if got[i] != brute_verdict(u, rules)]
+    assert not wrong
+
+
+def test_url_rules_without_rules_or_pages(spark):
+    none = spark.createDataFrame([], "host string, path string, verdict string")
+    pages = spark.createDataFrame([(1, "http://a.b/c")], "page_id int, url string")
+    assert tuple(url_filter.judge(pages, none).first()) == (1, "a.b", "/c", None, "allow")
+    some = spark.createDataFrame([("b", None, "block"), (None, "/q", None)], "host string, path string, verdict string")
+    assert url_filter.judge(pages, some).first().verdict == "block"
+    assert url_filter.judge(pages.limit(0), some).count() == 0
+
+
+# secrets
+
+SECRETS = [
+    (1, "password=abcdef1 and token : 'x' secret=token=longvalue é API_KEY:\"0123456789\""),
+    (2, "AKIA" + "A" * 16 + " AKIASHORT \U0001f600 " + "0123456789abcdef" * 2),
+    (3, "ſecret=abcdefgh ; toKen=abcdef; deadbeef"),
+    (4, "secret=" + "ab12" * 8),
+]
+
+
+def test_secret_spans(documents, folder):
+    got = {r.doc_id: [tuple(f) for f in r.findings] for r in secrets.scan(documents(SECRETS), f"{folder}/l").collect()}
+    text = dict(SECRETS)
+    found = {i: [(k, text[i][a:b]) for k, a, b in spans] for i, spans in got.items()}
+    assert found[1] == [("assign", "password=abcdef1"), ("assign", "secret=token=longvalue"), ("assign", 'API_KEY:"0123456789')]
+    assert found[2] == [("access", "AKIA" + "A" * 16), ("hex", "0123456789abcdef" * 2)]
+    assert found[3] == [("assign", "toKen=abcdef")]
+    assert [k for k, _ in found[4]] == ["assign", "hex"]
+
+
+def test_ledger_scans_only_what_is_new(spark, documents, folder):
+    ledger = f"{folder}/ledger"
+    first = documents([(1, "password=abcdef1"), (2, "password=abcdef1"), (3, "plain")])
+    assert sorted(len(r.findings) for r in secrets.scan(first, ledger).collect()) == [0, 1, 1]
+    assert secrets.read_ledger(spark, ledger).count() == 2
+    again = documents([(1, "password=abcdef1"), (9, "new secret: 1234567")])
+    assert [len(r.findings) for r in secrets.scan(again, ledger).collect()] == [1, 1]
+    assert secrets.read_ledger(spark, ledger).count() == 3
+    # a changed rule is another version: only that rule runs again, and its old findings no longer count
+    changed = tuple(secrets.Rule("assign", "plain|new", 0) if r.kind == "assign" else r for r in secrets.RULES)
+    rows = secrets.scan(first, ledger, rules=changed).collect()
+    assert sorted((r.doc_id, [f.kind for f in r.findings]) for r in rows) == [(1, []), (2, []), (3, ["assign"])]
+    fresh = [r.rules for r in secrets.read_ledger(spark, ledger).collect() if len(r.rules) == 1]
+    assert len(fresh) == 2
+
+
+def test_secrets_of_odd_rows(documents, folder):
+    rows = secrets.scan(documents(ODD), f"{folder}/l").collect()
+    assert len(rows) == len(ODD) and not any(r.findings for r in rows)
+    assert next(r for r in rows if r.doc_id == 1).blob == hashlib.sha256(b"").digest()
+    assert secrets.scan(documents([]), f"{folder}/m").count() == 0
+
+
+def test_redaction_covers_overlapping_spans(documents, folder):
+    docs = documents(SECRETS + [(5, None), (6, "clean")])
+    got = {r.doc_id: r.text for r in secrets.redact(docs, f"{folder}/l").collect()}
+    assert got[4] == "[SECRET]" and got[5] is None and got[6] == "clean"
+    assert got[2] == "[SECRET] AKIASHORT \U0001f600 [SECRET]"
+    assert got[1].startswith("[SECRET] and token : 'x' [SECRET] é [SECRET]")
+
+
+# quality
+
+
+def brute_quality(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    runs = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    covered = set()
+    for i, run in enumerate(runs):
+        if runs.count(run) > 1:
+            covered.update((i, i + 1, i + 2))
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    failed = len(words) < 50 or 100 * len(covered) > 50 * len(words)
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered), failed
+
+
+def test_quality_counts_equal_brute_force(spark, documents):
+    random.seed(9)
+    texts = [" ".join(random.choice(["a", "b", "c#", "é|", "\n", "w%d" % random.randrange(40)]) for _ in range(n)) for n in (0, 1, 2, 3, 49, 80, 300)]
+    texts += ["same line\nsame line\n \nsame line \n\n", "a a a a", "x y z " * 20]
+    rows = list(enumerate(texts)) + [(100, None), (101, "\n\r\t"), (None, texts[5]), (102, texts[5]), (102, texts[5])]
+    labels = spark.createDataFrame([(4, 1), (5, 1), (6, 0), (None, 1)], "doc_id bigint, quality int")
+    got = sorted((tuple(r)[:7] for r in quality.quality(documents(rows), labels).collect()), key=str)
+    assert got == sorted(((i, *brute_quality(t)) for i, t in rows), key=str)
+
+
+def test_quality_separates_prose_from_junk(spark, documents):
+    random.seed(2)
+    prose = lambda: " ".join(random.choice(["alpha", "beta", "gamma", "delta", "over", "under"]) + str(random.randrange(30)) for _ in range(120))
+    junk = lambda: " ".join("###$$" + str(random.randrange(10**6)) for _ in range(120))
+    rows = [(i, prose()) for i in range(60)] + [(100 + i, junk()) for i in range(60)]
+    labels = spark.createDataFrame([(i, 1) for i in range(0, 60, 2)], "doc_id bigint, quality int")
+    kept = {r.doc_id for r in quality.quality(documents(rows), labels, buckets=256).collect() if r.kept}
+    assert kept == set(range(60))
+    unlabelled = quality.quality(documents(rows), labels.limit(0)).collect()
+    assert all(r.ratio == 0 and r.kept for r in unlabelled)
+    assert quality.quality(documents([]), labels).count() == 0
