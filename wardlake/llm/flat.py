@@ -43,6 +43,17 @@ def chunks(texts: list[str | None], size: int = CHUNK) -> Iterator[tuple[int, li
         yield first, held
 
 
+def parts(sizes: np.ndarray, limit: int = CHUNK) -> Iterator[tuple[int, int]]:
+    """Ranges of rows, in order, of about `limit` in all; a larger row is a range of its own."""
+    ends = np.cumsum(sizes)
+    start = 0
+    while start < len(sizes):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
+        yield start, stop
+        start = stop
+
+
 @dataclass
 class Words:
     """Words of some texts: word w spans [start[w], stop[w]) of its text's characters."""
