@@ -10,6 +10,8 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 CHUNK = 1_000_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -30,17 +32,12 @@ def multipliers(n: int, salt: int = 0) -> np.ndarray:
     return mixed(k * _ODD) | np.uint64(1)
 
 
-def chunks(texts: list[str | None], size: int = CHUNK) -> Iterator[tuple[int, list[str]]]:
-    """(index of the first text, texts) with about `size` characters each; null becomes empty."""
-    first, held, chars = 0, [], 0
-    for i, text in enumerate(texts):
-        held.append(text or "")
-        chars += len(held[-1])
-        if chars >= size:
-            yield first, held
-            first, held, chars = i + 1, [], 0
-    if held:
-        yield first, held
+def chunks(texts: pa.Array | list[str | None], size: int = CHUNK) -> Iterator[tuple[int, list[str]]]:
+    """(index of the first text, texts) with about `size` bytes each; null becomes empty."""
+    column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    for start, stop in parts(sizes, size):
+        yield start, [text or "" for text in column.slice(start, stop - start).to_pylist()]
 
 
 def parts(sizes: np.ndarray, limit: int = CHUNK) -> Iterator[tuple[int, int]]:

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardlake.llm.common import broadcast_if_small
-from wardlake.llm.flat import CHUNK, IntTable
+from wardlake.llm.flat import IntTable, chunks
 
 UND = "und"
 MARK = "▁"
@@ -40,7 +40,8 @@ PER_LANGUAGE = 400
 ROUNDS = 3
 SMOOTHING = 0.05
 UNKNOWN = 1e-9  # probability of a letter without a piece
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
+WORDS_AT_ONCE = 10_000
 CODES = 0x110000
 
 
@@ -233,7 +234,7 @@ def fit(docs: DataFrame, model: bytes, per_language: int = PER_LANGUAGE, rounds:
                 counts = np.zeros((batch.num_rows, len(languages)))
                 lang = [place[g] for g in batch.column("lang").to_pylist()]
                 counts[np.arange(batch.num_rows), lang] = batch.column("n").to_numpy()
-                total = expected_uses(batch.column("word").to_pylist(), counts, trie, weight)
+                total = expected_uses(batch.column("word").to_pylist(), counts, trie, weight)  # a batch is bounded
                 piece, language = np.nonzero(total)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(piece, pa.int32()), pa.array(language, pa.int32()), pa.array(total[piece, language])],
@@ -264,19 +265,15 @@ class Scorer:
             new = sorted(words)
         if new:
             self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
-            self.score = np.vstack([self.score, word_scores(new, self.trie, self.model.weight)])
+            some = (new[i : i + WORDS_AT_ONCE] for i in range(0, len(new), WORDS_AT_ONCE))
+            scores = [word_scores(words, self.trie, self.model.weight) for words in some]
+            self.score = np.vstack([self.score, *scores])
 
-    def texts(self, texts: list[str | None]) -> list[tuple[str, float]]:
+    def texts(self, texts: pa.Array) -> list[tuple[str, float]]:
         out: list[tuple[str, float]] = []
-        held: list[list[str]] = []
-        size = 0
-        for text in texts:
-            held.append(words_of(text) if text and self.model.languages else [])
-            size += len(text or "")
-            if size >= CHUNK:
-                out.extend(self._judge(held))
-                held, size = [], 0
-        return out + self._judge(held)
+        for _, part in chunks(texts):
+            out += self._judge([words_of(text) if self.model.languages else [] for text in part])
+        return out
 
     def _judge(self, texts: list[list[str]]) -> list[tuple[str, float]]:
         self.learn(set().union(*texts))
@@ -298,7 +295,7 @@ def predict(text: Column, model: Model) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(model)
         for batch in batches:
-            judged = scorer.texts(batch.to_pylist())
+            judged = scorer.texts(batch)
             yield pa.StructArray.from_arrays(
                 [pa.array([j[0] for j in judged], pa.string()), pa.array([j[1] for j in judged], pa.float64())],
                 ["lang", "score"],

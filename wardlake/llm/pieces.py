@@ -283,7 +283,7 @@ def encode_chunk(texts: list[str], pieces: Pieces) -> tuple[np.ndarray, np.ndarr
     return table[source], counts
 
 
-def encode_texts(texts: list[str | None], pieces: Pieces) -> pa.Array:
+def encode_texts(texts: pa.Array | list[str | None], pieces: Pieces) -> pa.Array:
     """One list of ids per text."""
     parts = [encode_chunk(part, pieces) for _, part in chunks(texts)]
     if not parts:
@@ -320,7 +320,7 @@ def encode(text: Column, model: bytes) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         pieces = load_pieces(model)
         for batch in batches:
-            yield encode_texts(batch.to_pylist(), pieces)
+            yield encode_texts(batch, pieces)
 
     return run(text)
 
