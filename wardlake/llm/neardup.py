@@ -9,10 +9,13 @@ hashes and is posted under each (coordinate, value) pair. Two classes link if th
   of the s - agree + 1 rarest; a class with s < agree has no partner at all.
 * Skip: the long lists behind the prefix are never merged. Pairs from the prefix lists count their
   agreements on the two signatures.
-* In a list, every class is first compared with the list's smallest class. Links found so join
+* In a list, every class is first compared with the list's most common class, the one whose keys
+  have the longest lists; in a group of copies that is the text they stem from. Links found so join
   classes to components. Only classes outside their list's largest component are then compared with
-  all members of other components, so a group of copies costs about one comparison per copy and list,
-  and no link between components is missed.
+  all members of other components, so no link between components is missed.
+* Both comparisons only pass on pairs whose set sketches allow the similarity. A sketch has a bit for
+  each hash bucket, set if an odd number of shingles falls there. Two sketches never differ in more
+  bits than the sets differ in shingles, so no pair at or above the similarity is ruled out.
 
 A pair of similarity s agrees in a binomial(coordinates, s) number of coordinates; with 64 and 36 a
 pair at exactly 0.8 is missed once in about 200,000 times. Confirmation is on full sets, so nothing
@@ -43,10 +46,11 @@ SIMILARITY = (8, 10)
 COORDINATES = 64
 AGREE = 36
 ROWS_AT_ONCE = 4096
+SKETCH_BITS = 512
 HEAD = "struct(id is null as unnamed, id, print)"  # rows with an id come first
 
 
-def shingle_sets(texts: list[str | None], words: int) -> Iterator[np.ndarray]:
+def shingle_sets(texts: pa.Array | list[str | None], words: int) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of every text, in order."""
     for _, part in chunks(texts):
         flat = split_words(part)
@@ -64,8 +68,24 @@ def signature(shingles: np.ndarray, coordinates: int) -> np.ndarray:
     return low
 
 
+def sketch(shingles: np.ndarray, bits: int = SKETCH_BITS) -> np.ndarray:
+    """Parity of the number of shingles in each of `bits` buckets, packed into 64-bit words."""
+    odd = np.bincount((shingles % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def may_reach(a: str, b: str, ratio: tuple[int, int], words: int = SKETCH_BITS // 64) -> Column:
+    """Whether sketches and sizes of two sets (struct columns `sketch`, `size`) allow the similarity.
+
+    Sets of similarity s differ in (1 - s) / (1 + s) of the sum of their sizes.
+    """
+    differ = sum((F.bit_count(F.col(f"{a}.sketch")[i].bitwiseXOR(F.col(f"{b}.sketch")[i])) for i in range(words)), F.lit(0))
+    total = F.col(f"{a}.size") + F.col(f"{b}.size")
+    return differ * (ratio[1] + ratio[0]) <= total * (ratio[1] - ratio[0])
+
+
 def signatures(docs: DataFrame, words: int, coordinates: int) -> DataFrame:
-    """id, print, n_shingles, class (digest of the set; null if empty) and signature of every row."""
+    """id, print, n_shingles, class (digest of the set; null if empty), signature and sketch of every row."""
     schema = pa.schema(
         [
             ("id", pa.int64()),
@@ -73,17 +93,19 @@ def signatures(docs: DataFrame, words: int, coordinates: int) -> DataFrame:
             ("n_shingles", pa.int64()),
             ("class", pa.binary()),
             ("signature", pa.list_(pa.int64())),
+            ("sketch", pa.list_(pa.int64())),
         ]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, classes, signed = [], [], []
-            for shingles in shingle_sets(batch.column("text").to_pylist(), words):
+            counts, classes, signed, sketched = [], [], [], []
+            for shingles in shingle_sets(batch.column("text"), words):
                 counts.append(len(shingles))
                 some = len(shingles) > 0
                 classes.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if some else None)
                 signed.append(signature(shingles, coordinates).view(np.int64) if some else None)
+                sketched.append(sketch(shingles) if some else None)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
@@ -91,16 +113,20 @@ def signatures(docs: DataFrame, words: int, coordinates: int) -> DataFrame:
                     pa.array(counts, pa.int64()),
                     pa.array(classes, pa.binary()),
                     pa.array(signed, pa.list_(pa.int64())),
+                    pa.array(sketched, pa.list_(pa.int64())),
                 ],
                 schema=schema,
             )
 
-    out = "id bigint, print bigint, n_shingles bigint, class binary, signature array<bigint>"
+    out = "id bigint, print bigint, n_shingles bigint, class binary, signature array<bigint>, sketch array<bigint>"
     return docs.select("id", "print", "text").mapInArrow(run, out)
 
 
 def prefix_postings(classes: DataFrame, agree: int) -> DataFrame:
-    """(key, class): classes under their rarest shared keys, as many as `agree` makes necessary."""
+    """(key, class, common, of): classes under their rarest shared keys, as many as `agree` makes necessary.
+
+    `common` says how long the lists of a class are in all; `of` holds its sketch and set size.
+    """
     posted = classes.select("class", F.posexplode("signature").alias("coordinate", "value")).select(
         "class", F.xxhash64("coordinate", "value").alias("key")
     )
@@ -109,17 +135,25 @@ def prefix_postings(classes: DataFrame, agree: int) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("length", "key"))).alias("keys")  # one per coordinate at most
     )
     prefix = F.slice("keys.key", 1, F.size("keys") - agree + 1)
-    return shared.filter(F.size("keys") >= agree).select("class", F.explode(prefix).alias("key"))
+    common = F.aggregate("keys.length", F.lit(0).cast("bigint"), lambda total, n: total + n)
+    chosen = shared.filter(F.size("keys") >= agree).select("class", common.alias("common"), prefix.alias("keys"))
+    of = F.struct("sketch", F.col("n_shingles").alias("size")).alias("of")
+    return chosen.join(classes.select("class", of), "class").select("class", "common", "of", F.explode("keys").alias("key"))
 
 
-def leader_pairs(postings: DataFrame) -> DataFrame:
-    """(a, b): every class with the smallest class of each of its lists."""
-    leaders = postings.groupBy("key").agg(F.min("class").alias("a"))
-    pairs = postings.join(leaders, "key").filter(F.col("a") < F.col("class"))
-    return pairs.select("a", F.col("class").alias("b")).distinct()
+def leader_pairs(postings: DataFrame, plausible: Column) -> DataFrame:
+    """(a, b): every class with the most common class of each of its lists, where `plausible`.
 
+    `plausible` compares the struct columns `x` and `y`, the `of` of both.
+    """
+    most = F.max_by(F.struct(F.col("class").alias("a"), F.col("of").alias("x")), F.struct("common", "class"))
+    leaders = postings.groupBy("key").agg(most.alias("lead")).select("key", "lead.*")
+    pairs = postings.withColumnRenamed("of", "y").join(leaders, "key").filter(F.col("a") != F.col("class"))
+    ordered = pairs.filter(plausible).select(F.least("a", "class").alias("a"), F.greatest("a", "class").alias("b"))
+    return ordered.distinct()
 
-def residual_pairs(postings: DataFrame, labels: DataFrame) -> DataFrame:
+
+def residual_pairs(postings: DataFrame, labels: DataFrame, plausible: Column) -> DataFrame:
     """(a, b) across components within a list, unless both are in its largest component."""
     node = labels.select(F.col("node").alias("class"), "component")
     labelled = postings.join(node, "class", "left").withColumn("component", F.coalesce("component", "class"))
@@ -128,10 +162,13 @@ def residual_pairs(postings: DataFrame, labels: DataFrame) -> DataFrame:
         F.max_by("component", F.struct("members", "component")).alias("largest"), F.count("*").alias("parts")
     )
     mixed_lists = labelled.join(largest.filter("parts > 1").drop("parts"), "key")
-    outer = mixed_lists.filter("component <> largest").select("key", F.col("class").alias("x"), F.col("component").alias("cx"))
-    every = mixed_lists.select("key", F.col("class").alias("y"), F.col("component").alias("cy"))
-    pairs = outer.join(every, "key").filter("cx <> cy")
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    outer = mixed_lists.filter("component <> largest").select(
+        "key", F.col("class").alias("a"), F.col("component").alias("ca"), F.col("of").alias("x")
+    )
+    every = mixed_lists.select("key", F.col("class").alias("b"), F.col("component").alias("cb"), F.col("of").alias("y"))
+    # a pair of two outer classes comes up from both sides, but only once as distinct rows
+    pairs = outer.join(every, (outer["key"] == every["key"]) & (F.col("ca") != F.col("cb")) & plausible)
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def agreeing(pairs: DataFrame, classes: DataFrame, agree: int, ratio: tuple[int, int]) -> DataFrame:
@@ -163,8 +200,8 @@ def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int,
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left = shingle_sets(batch.column("ta").to_pylist(), words)
-            right = shingle_sets(batch.column("tb").to_pylist(), words)
+            left = shingle_sets(batch.column("ta"), words)
+            right = shingle_sets(batch.column("tb"), words)
             good = []
             for x, y in zip(left, right):
                 common = len(np.intersect1d(x, y, assume_unique=True))
@@ -201,13 +238,15 @@ def near_duplicates(
             F.min(F.expr(HEAD)).alias("head"),
             F.first("n_shingles").alias("n_shingles"),
             F.first("signature").alias("signature"),
+            F.first("sketch").alias("sketch"),
         ),
         "classes",
     )
     postings = stored(prefix_postings(classes, agree), "postings")
-    first = confirmed(agreeing(leader_pairs(postings), classes, agree, similarity), source, classes, words, similarity)
+    plausible = may_reach("x", "y", similarity)
+    first = confirmed(agreeing(leader_pairs(postings, plausible), classes, agree, similarity), source, classes, words, similarity)
     first = stored(first, "confirmed")
-    rest = residual_pairs(postings, components(first))
+    rest = residual_pairs(postings, components(first), plausible)
     second = confirmed(agreeing(rest, classes, agree, similarity), source, classes, words, similarity)
     labels = components(first.unionByName(second)).select(F.col("node").alias("class"), "component")
     named = classes.select("class", "head").join(labels, "class", "left")
