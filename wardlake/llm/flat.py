@@ -1,6 +1,6 @@
 """Words of many texts as flat numpy arrays, for use inside tasks.
 
-Texts are taken in chunks of about a million characters, so memory is bounded by the chunk and by the
+Texts are taken in chunks of about a quarter of a million bytes, so memory is bounded by the chunk and by the
 longest single text.
 """
 
@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK = 1_000_000
+CHUNK = 250_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX1 = np.uint64(0xBF58476D1CE4E5B9)
 _MIX2 = np.uint64(0x94D049BB133111EB)

@@ -40,8 +40,8 @@ PER_LANGUAGE = 400
 ROUNDS = 3
 SMOOTHING = 0.05
 UNKNOWN = 1e-9  # probability of a letter without a piece
-CACHED_WORDS = 150_000
-WORDS_AT_ONCE = 10_000
+CACHED_WORDS = 100_000
+WORDS_AT_ONCE = 4_000
 CODES = 0x110000
 
 
