@@ -2,10 +2,12 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from wardlake.llm import neardup, paragraphs
+from wardlake.llm.flat import split_words
 from wardlake.llm.graph import components
 
 
@@ -142,6 +144,25 @@ def test_rows_that_repeat_are_one_document(spark, documents):
     assert {r.doc_id for r in rows} == {1, None}
 
 
+def test_copies_have_the_same_paragraphs_whatever_stands_beside_them(spark, documents):
+    random.seed(23)
+    ones = [" ".join(f"t{random.randrange(10**6)}" for _ in range(30)) for _ in range(40)]
+    rows = [(100 * i + k, text) for i, text in enumerate(ones) for k in range(3)]
+    rows += [(10_000 + i, sentences(5)) for i in range(60)] + [(20_000, "z" * 300_000)]
+    random.shuffle(rows)
+    found = {r.doc_id for r in paragraphs.repeated_paragraphs(documents(rows)).collect()}
+    assert found == {100 * i + k for i in range(40) for k in range(3)}
+
+    def chosen(texts):
+        flat = split_words(texts)
+        first, behind = paragraphs.bounds(flat, 20)
+        text = np.searchsorted(flat.first, first, side="right") - 1
+        return [[(int(a - flat.first[t]), int(b - flat.first[t])) for a, b, at in zip(first, behind, text) if at == t] for t in range(len(texts))]
+
+    texts = [text for _, text in rows[:80]] + [sentences(5) + f" E{i} f{i}." for i in range(40)]
+    assert chosen(texts) == [chosen([text])[0] for text in texts]
+
+
 # pipeline
 
 
