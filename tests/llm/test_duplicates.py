@@ -155,7 +155,7 @@ def test_copies_have_the_same_paragraphs_whatever_stands_beside_them(spark, docu
 
     def chosen(texts):
         flat = split_words(texts)
-        first, behind = paragraphs.bounds(flat, 20)
+        first, behind, *_ = paragraphs.bounds(flat, 20)
         text = np.searchsorted(flat.first, first, side="right") - 1
         return [[(int(a - flat.first[t]), int(b - flat.first[t])) for a, b, at in zip(first, behind, text) if at == t] for t in range(len(texts))]
 
@@ -163,6 +163,34 @@ def test_copies_have_the_same_paragraphs_whatever_stands_beside_them(spark, docu
     assert chosen(texts) == [chosen([text])[0] for text in texts]
 
 
+@pytest.mark.parametrize("ended", [True, False])
+def test_passages_of_51_to_70_words_at_any_place_are_found(spark, documents, ended):
+    random.seed(29)
+    docs, holders = [], set()
+    for i in range(60):
+        source = sentences(30).split()
+        at = random.randrange(len(source) - 70)
+        passage = source[at : at + random.randint(51, 70)]
+        for k in range(3):
+            host = sentences(12).split()
+            place = random.randrange(len(host))
+            text = " ".join(host[:place] + passage + host[place:])
+            docs.append((10 * i + k, text if ended else text.replace(".", "")))
+            holders.add(10 * i + k)
+    docs += [(1000 + i, sentences(20).replace("." if not ended else "", "")) for i in range(30)]
+    rows = paragraphs.repeated_paragraphs(documents(docs)).collect()
+    assert {r.doc_id for r in rows} == holders
+
+
+def test_every_word_of_a_text_lies_in_a_paragraph():
+    for text in ("x " * 500, " ".join(f"u{i}" for i in range(331)), "Ab cd. " * 40 + "end"):
+        flat = split_words([text])
+        covered = np.zeros(len(flat.start), bool)
+        for first, behind in zip(*paragraphs.bounds(flat, 20)[:2]):
+            covered[first:behind] = True
+        assert covered.all()
+
+
 # pipeline
 
 
