@@ -227,3 +227,14 @@ def test_quality_separates_prose_from_junk(spark, documents):
     unlabelled = quality.quality(documents(rows), labels.limit(0)).collect()
     assert all(r.ratio == 0 and r.kept for r in unlabelled)
     assert quality.quality(documents([]), labels).count() == 0
+
+
+def test_threshold_follows_the_trusted_documents(spark, documents):
+    random.seed(2)
+    prose = lambda: " ".join(random.choice(["alpha", "beta", "gamma", "delta", "over", "under"]) + str(random.randrange(30)) for _ in range(120))
+    junk = lambda: " ".join("###$$" + str(random.randrange(10**6)) for _ in range(120))
+    rows = [(i, prose()) for i in range(60)] + [(100 + i, junk()) for i in range(60)]
+    labels = spark.createDataFrame([(i, 1) for i in range(0, 60, 2)], "doc_id bigint, quality int")
+    got = quality.quality(documents(rows), labels, buckets=256).collect()
+    assert {r.doc_id for r in got if r.kept} == set(range(60))
+    assert {r.doc_id for r in quality.quality(documents(rows), labels, threshold=-9.0).collect() if r.kept} >= set(range(60))
