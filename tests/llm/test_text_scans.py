@@ -47,6 +47,13 @@ def test_unmatched_sentences_are_reported(documents):
     assert (row.licenses, row.unmatched) == ([], ["bsdSource"])
 
 
+def test_apache_notice_may_go_on_behind_the_version(documents):
+    notice = 'Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file.'
+    texts = [notice, "# " + notice.replace("\n", "\n# "), notice.replace("\n", " "), notice.replace("2.0", "2.1")]
+    rows = licenses.scan(documents(list(enumerate(texts)))).collect()
+    assert {r.doc_id: r.licenses for r in rows} == {0: ["Apache-2.0"], 1: ["Apache-2.0"], 2: ["Apache-2.0"], 3: []}
+
+
 # decontamination
 
 

@@ -23,7 +23,7 @@ HINT = r"licen[cs]e|permission|warrant|redistribut|public domain|free software|c
 
 # Known sentences: identifier and pattern over the normalised sentence.
 SENTENCES = [
-    ("apache2", r"licensed under the apache license version 2(\.0)?$"),
+    ("apache2", r"licensed under the apache license version 2(\.0)?( |$)"),
     ("gpl3", r"licensed under the (gnu general public license|gpl)( version|,? v)? ?3(\.0)?$"),
     ("gpl2", r"licensed under the (gnu general public license|gpl)( version|,? v)? ?2(\.0)?$"),
     ("gplNoVersion", r"licensed under the (gnu general public license|gpl)$"),
