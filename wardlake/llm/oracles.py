@@ -118,9 +118,94 @@ SELECT doc_id, CAST(COALESCE(n, 0) AS BIGINT) AS n_shingles, component_id,
 FROM d JOIN part USING (r) LEFT JOIN n USING (r)
 """
 
+LINE_DEDUP = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(COALESCE(text, ''), chr(10)) AS lines FROM documents
+), l AS (
+  SELECT r, doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS i FROM d
+), k AS (
+  SELECT *, {LOWER.format("trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} AS key FROM l
+), repeated AS (
+  SELECT key, max(doc_id) AS largest FROM k WHERE length(key) >= 20
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), judged AS (
+  SELECT k.*, repeated.key IS NULL OR doc_id = largest AS stays FROM k LEFT JOIN repeated USING (key)
+)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE NOT stays) AS n_dropped,
+  sha256(COALESCE(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE stays), '')) AS kept_sha256
+FROM judged GROUP BY r
+"""
+
+FILTER_AUDIT = """
+WITH letters(f, k) AS (VALUES ('A', 0), ('B', 1), ('C', 2), ('D', 3), ('E', 4)
+), orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS o FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+), t AS (
+  SELECT COALESCE(source, '') AS part, COALESCE(text, '') AS text, doc_id,
+    regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS w, min(doc_id) OVER (PARTITION BY COALESCE(text, '')) AS lowest
+  FROM documents
+), known AS (
+  SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+), m AS (
+  SELECT part, COALESCE(good, 0) AS good, COALESCE(toxic, 0) AS toxic,
+    (len(w) < 50)::INT + 2 * (100 * len(list_distinct(w)) < 65 * len(w))::INT
+    + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text))::INT
+    + 8 * regexp_matches(text, '[#$%&*|]')::INT + 16 * COALESCE(doc_id > lowest, FALSE)::INT AS mask
+  FROM t LEFT JOIN known USING (doc_id)
+), counted AS (
+  SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY part, mask
+), stepped AS (
+  SELECT part, o, mask, n, good, toxic, (
+    SELECT min(CASE WHEN mask & (1 << k) > 0 THEN instr(o, f) ELSE 6 END) FROM letters) AS step
+  FROM counted, orders
+), grid AS (
+  SELECT part, o, s, substr(o, s, 1) AS f, 1 << (ascii(substr(o, s, 1)) - 65) AS bit
+  FROM (SELECT DISTINCT part FROM counted), orders, (SELECT unnest(range(1, 6)) AS s)
+), judged AS (
+  SELECT g.part, g.o, g.s, g.f, COALESCE(sum(n) FILTER (WHERE step > s), 0) AS kept,
+    COALESCE(sum(n) FILTER (WHERE step = s), 0) AS removed,
+    COALESCE(sum(n) FILTER (WHERE step < s AND mask & bit > 0), 0) AS redundant,
+    COALESCE(sum(n) FILTER (WHERE mask = bit), 0) AS unique_fails,
+    COALESCE(sum(c.good) FILTER (WHERE step = s), 0) AS good_lost,
+    COALESCE(sum(c.toxic) FILTER (WHERE step = s), 0) AS toxic_lost
+  FROM grid g JOIN stepped c ON c.part = g.part AND c.o = g.o GROUP BY g.part, g.o, g.s, g.f
+)
+SELECT part, o AS filter_order, CAST(s AS INT) AS step, CAST(kept AS BIGINT) AS kept,
+  CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM judged
+"""
+
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+    CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER best AS INT) AS rank, id AS negative_id, positive_score,
+  score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+QUALIFY row_number() OVER best <= 10
+"""
+
 ORACLES: dict[str, str] = {
     "op1_license_scan": _license_sql(),
     "op2_decontamination": DECONTAMINATION,
     "op5_url_rules": URL_RULES,
     "op9_minhash_neardup": NEAR_DUPLICATES,
+    "op11_line_dedup": LINE_DEDUP,
+    "op12_filter_audit": FILTER_AUDIT,
+    "op13_hard_negatives": HARD_NEGATIVES,
 }

@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from wardlake.llm import (
     decontaminate,
+    filter_audit,
     langid,
     licenses,
+    lines,
     neardup,
+    negatives,
     paragraphs,
     pieces,
     quality,
@@ -127,6 +130,26 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first insertion: the index starts empty."""
+    docs = table(spark, sf_dir, "documents")
+    index = lines.LineIndex(spark, scratch_path(spark, "lines"))
+    index.insert(docs)
+    kept = lines.drop_repeated(docs, index)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh label is moved on by one; every hundredth row is an anchor."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", moved.alias("label"), "embedding")
+    return negatives.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": license_scan,
     "op2_decontamination": decontamination,
@@ -138,4 +161,7 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": languages,
     "op9_minhash_neardup": near_duplicates,
     "op10_passage_dedup": passage_dedup,
+    "op11_line_dedup": line_dedup,
+    "op12_filter_audit": filter_interactions,
+    "op13_hard_negatives": hard_negatives,
 }
