@@ -161,7 +161,7 @@ class LineIndex:
 
     def _postings(self, commits: list) -> DataFrame:
         """(doc_id, hi, lo) of the held documents."""
-        rows = self._read("postings", commits)
+        rows = self._read("postings", [c for c in commits if c.of != "delete"])
         if any(c.deletions for c in commits):
             held = self._documents(commits).select(F.col("doc_id").alias("id"), F.col("gen").alias("of"))
             same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("gen") == F.col("of"))
