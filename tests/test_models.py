@@ -121,3 +121,61 @@ def test_missing_model_folder_is_skipped(spark, trained, folder):
     row = registry.registry(spark, base).limit(1).withColumn("model_path", F.lit("models/gone"))
     row.write.json(f"{folder}/metadata/gone")
     assert registry.load_models(spark, folder) == {}
+
+
+def test_versions_and_a_save_that_died(spark, trained, folder, features):
+    """Readers see whole versions only, and a loaded version outlives the next save."""
+    _, results = trained
+    result = results[0]
+    registry.save_model(spark, result, folder)
+    loaded = registry.load_models(spark, folder)[result.name]
+    registry.save_model(spark, result, folder)
+    result.model.write().overwrite().save(f"{folder}/models/{result.name}/version=3")
+    versions = registry.list_models(spark, folder, all_versions=True).orderBy("version").collect()
+    assert [(r.model_name, r.version) for r in versions] == [(result.name, 1), (result.name, 2)]
+    current = registry.registry(spark, folder).first()
+    assert (current.version, current.model_path) == (2, f"models/{result.name}/version=2")
+    assert loaded.transform(features).filter("prediction IS NULL").count() == 0
+    assert registry.save_model(spark, result, folder).endswith("version=3")
+    assert registry.registry(spark, folder).first().version == 3
+    assert registry.model_versions(spark, f"{folder}/nothing").collect() == []
+
+
+def failing_on(condition):
+    statement = f"SELECT *, IF({condition}, CAST(raise_error('bad row') AS DOUBLE), 1.0D) AS prediction FROM __THIS__"
+    return PipelineModel([SQLTransformer(statement=statement)])
+
+
+def test_features_are_computed_once_for_all_models(spark, trained, features, folder):
+    """The input of isolated scoring is read by one job, however many models there are."""
+    counted = spark.sparkContext.accumulator(0)
+
+    def seen(x):
+        counted.add(1)
+        return x
+
+    watched = features.withColumn("request_id", F.udf(seen, "bigint")("request_id"))
+    fine = failing_on("FALSE")
+    models = {"a": fine, "b": fine, "c": fine, "broken": failing_on("request_id IS NOT NULL")}
+    scored = scoring.score_isolated(watched, models, folder)
+    n = features.count()
+    counts = {(r.model, r.failed): r["count"] for r in scored.groupBy("model", F.col("error").isNotNull().alias("failed")).count().collect()}
+    assert counts == {("a", False): n, ("b", False): n, ("c", False): n, ("broken", True): n}
+    assert counted.value == n
+
+
+def test_only_the_failing_parts_have_errors(spark, features, folder):
+    bad = features.select("request_id").orderBy("request_id").first()[0]
+    models = {"partly": failing_on(f"request_id = {bad}")}
+    scored = scoring.score_isolated(features, models, folder, parts=8).select("request_id", "prediction", "error").collect()
+    n = features.count()
+    failed = {r.request_id for r in scored if r.error}
+    assert len(scored) == n and bad in failed and 0 < len(failed) < n / 2
+    assert all("bad row" in r.error and r.prediction is None for r in scored if r.error)
+    assert all(r.prediction == 1.0 for r in scored if not r.error)
+
+
+def test_a_model_that_cannot_be_planned_has_errors_only(spark, features, folder):
+    missing = PipelineModel([SQLTransformer(statement="SELECT *, no_such_column AS prediction FROM __THIS__")])
+    scored = scoring.score_isolated(features, {"missing": missing}, folder)
+    assert scored.filter("error IS NULL").count() == 0 and scored.count() == features.count()

@@ -15,19 +15,21 @@ from pyspark.sql import types as T
 from wardlake.functions.cleaning import to_double
 from wardlake.functions.reporting import iso_text, stamp_text
 from wardlake.models.features import feature_pipeline, prepare
-from wardlake.models.registry import list_models, registry
+from wardlake.models.registry import list_models, load_models, registry
 from wardlake.models.scoring import rmse_by_model, score_isolated, score_smart
 from wardlake.models.training import ALGORITHMS, leaderboard, numeric_target
-from wardlake.operators import numbering, profile, query, requests, rows
+from wardlake.operators import numbering, percentiles, profile, query, requests, rows
 from wardlake.plans import catalogue, inputs, templates
 from wardlake.plans.discharges import raw_discharges, table, to_processed
 from wardlake.schema import NUMERIC_FEATURES, RAW_SCHEMA, TARGETS
 from wardlake.session import scratch_path
 from wardlake.sources import lake, messages, zones
-from wardlake.streaming import ingest, reports
+from wardlake.streaming import ingest, progress, reports, timeline
 
 Query = Callable[[SparkSession, str], DataFrame]
 SINCE = dt.date(1998, 1, 1)
+# So few rows that the passes of radix selection are needed on small tables, too.
+CROWDED = 1 << 10
 
 
 def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
@@ -169,9 +171,111 @@ def batch_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def progress_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of an ingest that was started twice, from its manifest and its progress table."""
+    base = inputs.ingested_base(spark, sf_dir)
+    progress_rows = progress.read_progress(spark, f"{base}/progress")
+    stats = progress.ingest_statistics(ingest.read_manifest(spark, base), progress_rows)
+    totals = progress.progress_totals(progress_rows)
+    received = totals.agg(F.sum("total_messages")).scalar()
+    same_files = F.col("files_saved.json") == F.col("files_saved.csv")
+    return stats.select(
+        "total_messages",
+        "errors",
+        "health",
+        "runs",
+        received.alias("received"),
+        "unreported_batches",
+        "differing_batches",
+        (F.col("messages_per_second") > 0).alias("has_rate"),
+        same_files.alias("all_saved"),
+    )
+
+
+def processing_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Last running total of the ingest's processing time line, and the sum of its windows."""
+    rows = progress.read_progress(spark, f"{inputs.ingested_base(spark, sf_dir)}/progress")
+    line = progress.progress_timeline(rows, "1 minute")
+    return line.agg(F.max("total_messages").alias("last_total"), F.sum("messages").alias("messages"))
+
+
 def stream_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    timeline = reports.read_timeline(spark, inputs.timeline_base(spark, sf_dir))
-    return timeline.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    base, _ = inputs.timeline(spark, sf_dir)
+    windows = timeline.read_timeline(spark, base).drop("is_open")
+    return rounded(windows.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")))
+
+
+def stream_lateness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of the timeline that came in, were counted and came too late, and its closed days."""
+    base, query_ = inputs.timeline(spark, sf_dir)
+    rows = progress.read_progress(spark, f"{base}/progress")
+    closed = timeline.closed_windows(spark, base).agg(F.sum("messages")).scalar()
+    return timeline.lateness(spark, base, rows, str(query_.id)).withColumn("has_closed", closed > 0)
+
+
+def compaction_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of the same lake before, in the middle of and after a compaction, by both readers."""
+    parts = []
+    for state, base in inputs.compacted(spark, sf_dir).items():
+        for reader, rows in (
+            ("batches", ingest.read_batches(spark, base)),
+            ("csv", ingest.read_batches(spark, base, "csv")),
+            ("lake", lake.load_raw(spark, f"{base}/raw")),
+        ):
+            parts.append(file_facts(rows).withColumns({"state": F.lit(state), "reader": F.lit(reader)}))
+    return lake.union_files(parts)
+
+
+def compaction_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches and records by state of the compaction."""
+    parts = []
+    for state, base in inputs.compacted(spark, sf_dir).items():
+        rows = ingest.read_manifest(spark, base).agg(F.count("*").alias("batches"), F.sum("record_count").alias("records"))
+        parts.append(rows.withColumn("state", F.lit(state)))
+    return lake.union_files(parts)
+
+
+def unsaved_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch without a CSV copy is read from its JSON copy."""
+    return file_facts(ingest.read_batches(spark, inputs.unsaved_csv(spark, sf_dir), "csv"))
+
+
+def model_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions of a model while a third one is being saved, and whether the newest whole one loads."""
+    base = inputs.twice_saved(spark, sf_dir)
+    loaded = sorted(load_models(spark, base))
+    listed = list_models(spark, base, all_versions=True).select("model_name", "version")
+    current = registry(spark, base).select("model_name", F.col("version").alias("current"))
+    return listed.join(current, "model_name").select(
+        "model_name", "version", (F.col("version") == F.col("current")).alias("is_current"),
+        F.col("model_name").isin(loaded).alias("loads"),
+    )
+
+
+def offset_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages numbered in the order of their partitions and offsets."""
+    sent = inputs.event_messages(spark, sf_dir).select("partition", "offset")
+    return numbering.number_records(sent, ["partition", "offset"])
+
+
+def tied_numbers(events: DataFrame) -> DataFrame:
+    """Events numbered by a text with few values: numbers by value, and how many of them differ."""
+    numbered = numbering.number_records(events.select("event_type", "user_id"), "event_type")
+    return numbered.groupBy("event_type").agg(
+        F.min("record_no").alias("first_no"),
+        F.max("record_no").alias("last_no"),
+        F.countDistinct("record_no").alias("numbers"),
+    )
+
+
+def crowded_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles of line prices moved so close together that they share magnitude buckets."""
+    near = F.lit(1e6) + F.col("l_extendedprice").cast("double") / 1e5
+    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", near.alias("price"))
+    report = lines.groupBy("l_returnflag").agg(F.count("*").alias("lines"))
+    wanted = {"p25": 0.25, "median": 0.5, "p99": 0.99}
+    found = percentiles.with_exact_percentiles(report, lines, ["l_returnflag"], "price", wanted, most=CROWDED)
+    return rounded(found, 6)
 
 
 def success_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -534,6 +638,12 @@ QUERIES: dict[str, Query] = {
     "record_numbers": over_events(
         lambda e: numbering.number_records(e, "event_id").select("event_id", "record_no")
     ),
+    "offset_numbers": offset_numbers,
+    "text_key_numbers": over_events(
+        lambda e: numbering.number_records(e, ["event_type", F.desc("event_id")]).select("event_id", "record_no")
+    ),
+    "tied_numbers": over_events(tied_numbers),
+    "crowded_percentiles": crowded_percentiles,
     "count_batches": over_events(lambda e: numbering.count_batches(e, "event_id")),
     "recent_history": over_events(lambda e: numbering.recent(e, "ts", "event_id")),
     "ingest_totals": over_events(lambda e: reports.ingest_totals(e, "ts")),
@@ -542,6 +652,12 @@ QUERIES: dict[str, Query] = {
         table(spark, sf_dir, "events"), "user_id", "ts", F.col("event_type") == "error"
     ),
     "stream_timeline": stream_timeline,
+    "stream_lateness": stream_lateness,
+    "progress_statistics": progress_statistics,
+    "processing_timeline": processing_timeline,
+    "compaction_states": compaction_states,
+    "compaction_manifest": compaction_manifest,
+    "unsaved_csv": unsaved_csv,
     "corrupt_split": corrupt_split,
     "success_rate": success_rate,
     "ingested_json": ingested_records("json"),
@@ -561,6 +677,7 @@ QUERIES: dict[str, Query] = {
     "feature_values": over_processed(feature_values),
     "model_leaderboard": model_leaderboard,
     "model_listing": model_listing,
+    "model_versions": model_versions,
     "holdout_rmse": holdout_rmse,
     "batch_predictions": batch_predictions,
     "isolated_predictions": isolated_predictions,

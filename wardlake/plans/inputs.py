@@ -6,11 +6,13 @@ back, so an executor that is lost takes no intermediate result with it.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from wardlake.models.registry import load_models, save_model
 from wardlake.models.training import train_all
@@ -19,8 +21,9 @@ from wardlake.session import scratch_path
 from wardlake.sources.lake import export_csv
 from wardlake.sources.messages import read_stream, to_messages, write_messages
 from wardlake.sources.zones import read_processed, write_processed
-from wardlake.streaming import reports
-from wardlake.streaming.ingest import ingest, read_batches, write_batch
+from wardlake.streaming.ingest import compact, ingest, read_batches, write_batch
+from wardlake.streaming.progress import ProgressTable
+from wardlake.streaming.timeline import stream_days, stream_windows
 
 # One request body per discharge, as JSON: some without a group code, some with a code in quotes,
 # supplied texts, explicit nulls, unreadable weights, and always a key nobody knows.
@@ -148,7 +151,11 @@ def reordered_files(spark: SparkSession, sf_dir: str) -> list[str]:
 
 
 def _ingest(spark: SparkSession, sf_dir: str):
-    """All discharges sent as messages, some damaged, and ingested by a drained stream."""
+    """All discharges sent as messages, some damaged, and ingested by a drained stream.
+
+    Half of the messages come after the stream has stopped, so it is started twice; its progress goes to
+    a table.
+    """
     base = scratch_path(spark, "ingest")
     number = F.substring_index("key", "_", -1).cast("bigint")
     cut = F.expr("substring(value, 1, length(value) - 1)")
@@ -160,24 +167,89 @@ def _ingest(spark: SparkSession, sf_dir: str):
         number.alias("offset"),
         F.timestamp_seconds(number + 1_704_067_200).alias("timestamp"),
     )
-    write_messages(sent, TOPIC, "parquet", path=f"{base}/{TOPIC}")
-    messages = read_stream(spark, "parquet", path=f"{base}/{TOPIC}", maxBytesPerTrigger=BATCH_BYTES)
-    query = ingest(messages, base, drain=True)
-    query.awaitTermination()
+    for half in (0, 1):
+        write_messages(sent.filter(number % 2 == half), TOPIC, "parquet", path=f"{base}/{TOPIC}")
+        messages = read_stream(spark, "parquet", path=f"{base}/{TOPIC}", maxBytesPerTrigger=BATCH_BYTES)
+        query = with_progress(spark, base, lambda: ingest(messages, base, drain=True))
     return base, query
 
 
+def with_progress(spark: SparkSession, base: str, start: Callable) -> StreamingQuery:
+    """Run a drained query to its end, with its progress in a table below `base`."""
+    table_ = ProgressTable(spark, f"{base}/progress")
+    spark.streams.addListener(table_)
+    try:
+        query = start()
+        query.awaitTermination()
+        if not table_.wait_for(query):
+            raise TimeoutError("the progress of a query was not written")
+    finally:
+        spark.streams.removeListener(table_)
+    return query
+
+
+# The events of the month up to this day are sent first, and those before the second one once more at last.
+SECOND_SLICE, REPLAYED = "2024-01-16", "2024-01-06"
+LATE = "16 days"
+
+
 @once_per_application
-def timeline_base(spark: SparkSession, sf_dir: str) -> str:
-    """The events sent as messages and counted per hour by a drained stream.
+def timeline(spark: SparkSession, sf_dir: str):
+    """The events sent in order of time in two slices, some of the first again, and counted as a stream.
 
-    Any file may hold any time of the month the events span, hence the generous lateness.
+    The stream is drained and started again for each slice. Within a slice files come in any order, so a
+    window stays open for as long as a slice is; what is sent again comes behind that and is late.
+    Returns the folder and the query that counts.
     """
     base = scratch_path(spark, "timeline")
-    sent = event_messages(spark, sf_dir).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
-    write_messages(sent, "events", "parquet", path=f"{base}/events")
-    messages = read_stream(spark, "parquet", path=f"{base}/events", maxBytesPerTrigger=BATCH_BYTES)
-    reports.stream_timeline(messages, base, "timestamp", late="60 days").awaitTermination()
+    events = event_messages(spark, sf_dir).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    first, replayed = F.col("timestamp") < SECOND_SLICE, F.col("timestamp") < REPLAYED
+    for part in (events.filter(first), events.filter(~first), events.filter(replayed)):
+        write_messages(part, "events", "parquet", path=f"{base}/events")
+        messages = read_stream(spark, "parquet", path=f"{base}/events", maxBytesPerTrigger=BATCH_BYTES)
+        query = with_progress(spark, base, lambda: stream_windows(messages, base, "timestamp", late=LATE))
+        stream_days(spark, base).awaitTermination()
+    return base, query
+
+
+@once_per_application
+def compacted(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """The same ingested lake before, in the middle of and after a compaction; folder by state."""
+    base = scratch_path(spark, "compaction")
+    raw = raw_discharges(spark, sf_dir)
+    states = {}
+    for state in ("before", "during", "after"):
+        states[state] = f"{base}/{state}"
+        for batch in range(4):
+            write_batch(raw.filter(F.col("record_id") % 4 == batch), batch, states[state], COMPACTED_AT)
+    # what a compaction that died before its manifest row leaves behind
+    copy = raw.write.option("ignoreNullFields", False)
+    copy.json(f"{states['during']}/raw/json/year=2024/month=03/batch_id=compact-unfinished")
+    compact(spark, states["after"])
+    return states
+
+
+COMPACTED_AT = dt.datetime(2024, 3, 1, tzinfo=dt.timezone.utc)
+
+
+@once_per_application
+def unsaved_csv(spark: SparkSession, sf_dir: str) -> str:
+    """An ingest of which one batch has no CSV copy."""
+    base = scratch_path(spark, "unsaved")
+    raw = raw_discharges(spark, sf_dir)
+    write_batch(raw.filter("record_id % 3 <> 0"), 0, base)
+    write_batch(raw.filter("record_id % 3 = 0"), 1, base, formats=("json",))
+    return base
+
+
+@once_per_application
+def twice_saved(spark: SparkSession, sf_dir: str) -> str:
+    """A registry with two versions of a model, and a third save that died before its metadata row."""
+    base = scratch_path(spark, "versions")
+    _, trained = trained_base(spark, sf_dir)
+    for _ in range(2):
+        save_model(spark, trained[0], base)
+    trained[0].model.write().overwrite().save(f"{base}/models/{trained[0].name}/version=3")
     return base
 
 

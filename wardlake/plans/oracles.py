@@ -14,7 +14,7 @@ from wardlake.functions.vocabulary import (
     TEXT_FIELDS,
 )
 from wardlake.plans.discharges import RAW_SQL
-from wardlake.plans.inputs import REQUEST_SQL
+from wardlake.plans.inputs import REPLAYED, REQUEST_SQL
 from wardlake.schema import CATEGORICALS, NUMERIC_FEATURES, TARGETS
 
 RAW = RAW_SQL.format(orders="orders", customer="customer", nation="nation")
@@ -174,6 +174,14 @@ BATCHED_EVENTS = (
 NUMBERED_RAW = "(SELECT *, ROW_NUMBER() OVER (ORDER BY record_id) - 1 AS record_no FROM raw)"
 HEALTH = "CASE WHEN {0} = 0 THEN 'healthy' WHEN {0} < 5 THEN 'degraded' ELSE 'failing' END"
 
+RATE_TIMELINE = (
+    "SELECT window_start, messages, ROUND(messages / 3600.0, 2) AS messages_per_second, "
+    "CAST(SUM(messages) OVER (ORDER BY window_start) AS BIGINT) AS total_messages FROM "
+    "(SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, COUNT(*) AS messages "
+    "FROM events GROUP BY 1)"
+)
+REPLAYED_EVENTS = f"(SELECT COUNT(*) FROM events WHERE ts < '{REPLAYED}')"
+
 ORACLES: dict[str, str] = {
     "total_records": _d("SELECT COUNT(*) AS total_records FROM d"),
     "year_range": _d(
@@ -391,15 +399,51 @@ ORACLES: dict[str, str] = {
         "ROUND(COUNT(*) / ((epoch_us(MAX(ts)) - epoch_us(MIN(ts))) / 1e6), 2) ELSE 0.0 END "
         "AS messages_per_second FROM events"
     ),
-    "rate_timeline": (
-        "SELECT window_start, messages, ROUND(messages / 3600.0, 2) AS messages_per_second, "
-        "CAST(SUM(messages) OVER (ORDER BY window_start) AS BIGINT) AS total_messages FROM "
-        "(SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, COUNT(*) AS messages "
-        "FROM events GROUP BY 1)"
+    "rate_timeline": RATE_TIMELINE,
+    "stream_timeline": RATE_TIMELINE,
+    "stream_lateness": (
+        f"SELECT COUNT(*) + {REPLAYED_EVENTS} AS received, COUNT(*) AS counted, {REPLAYED_EVENTS} AS late, "
+        "TRUE AS has_closed FROM events"
+    ),
+    "progress_statistics": _raw(
+        "SELECT COUNT(*) FILTER (WHERE record_no % 101 <> 100) AS total_messages, "
+        "COUNT(*) FILTER (WHERE record_no % 101 = 100) AS errors, "
+        f"{HEALTH.format('COUNT(*) FILTER (WHERE record_no % 101 = 100)')} AS health, CAST(2 AS BIGINT) AS runs, "
+        "COUNT(*) AS received, CAST(0 AS BIGINT) AS unreported_batches, CAST(0 AS BIGINT) AS differing_batches, "
+        f"TRUE AS has_rate, TRUE AS all_saved FROM {NUMBERED_RAW}"
+    ),
+    "processing_timeline": _raw("SELECT COUNT(*) AS last_total, COUNT(*) AS messages FROM raw"),
+    "compaction_states": _raw(
+        f"SELECT * FROM ({_file_facts()}) CROSS JOIN (VALUES ('before'), ('during'), ('after')) AS s(state) "
+        "CROSS JOIN (VALUES ('batches'), ('csv'), ('lake')) AS r(reader)"
+    ),
+    "compaction_manifest": _raw(
+        "SELECT state, CAST(batches AS BIGINT) AS batches, COUNT(*) AS records FROM raw "
+        "CROSS JOIN (VALUES ('before', 4), ('during', 4), ('after', 1)) AS s(state, batches) GROUP BY ALL"
+    ),
+    "unsaved_csv": _raw(_file_facts()),
+    "offset_numbers": (
+        'SELECT CAST(event_id % 3 AS INT) AS "partition", event_id AS "offset", '
+        "ROW_NUMBER() OVER (ORDER BY event_id % 3, event_id) - 1 AS record_no FROM events"
+    ),
+    "text_key_numbers": (
+        "SELECT event_id, ROW_NUMBER() OVER (ORDER BY event_type, event_id DESC) - 1 AS record_no FROM events"
+    ),
+    "tied_numbers": (
+        "SELECT event_type, MIN(n) AS first_no, MAX(n) AS last_no, COUNT(*) AS numbers FROM "
+        "(SELECT event_type, ROW_NUMBER() OVER (ORDER BY event_type) - 1 AS n FROM events) GROUP BY event_type"
+    ),
+    "crowded_percentiles": (
+        "SELECT l_returnflag, COUNT(*) AS lines, "
+        + ", ".join(
+            f"ROUND(QUANTILE_CONT(1e6 + CAST(l_extendedprice AS DOUBLE) / 1e5, {q}), 6) AS {name}"
+            for name, q in (("p25", 0.25), ("median", 0.5), ("p99", 0.99))
+        )
+        + " FROM lineitem GROUP BY l_returnflag"
     ),
-    "stream_timeline": (
-        "SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, COUNT(*) AS messages "
-        "FROM events GROUP BY 1"
+    "model_versions": (
+        f"SELECT '{TARGETS[0]}_numeric_model' AS model_name, CAST(v AS INT) AS version, v = 2 AS is_current, "
+        "TRUE AS loads FROM (VALUES (1), (2)) AS x(v)"
     ),
     "freshness_report": (
         "SELECT user_id, messages, last_message_time, errors, age AS age_seconds, "

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 LOCAL_CONF = "spark.wardlake.localDir"
@@ -51,6 +51,24 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/wardlake/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write to the shared folder and read back: cuts the lineage, outlives lost executors."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, changed where the frame has a column of that name."""
+    taken = {c.lower() for c in df.columns}
+    result = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        result.append(name)
+    return result
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Give the context a checkpoint folder where the cluster has not set one."""
     if not spark.conf.get(CHECKPOINT_CONF, None):

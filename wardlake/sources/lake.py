@@ -9,11 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardlake.schema import MANIFEST_SCHEMA, RAW_SCHEMA
+from wardlake.schema import RAW_SCHEMA
+from wardlake.sources.file_index import files_below
+from wardlake.sources.manifests import MANIFEST_FOLDER, live_manifests
 
 # Names that mark files which are not data.
 MANIFEST_SUFFIX = "metadata.json"
-MANIFEST_FOLDER = "/manifest/"
 CSV_OPTIONS = {"header": True, "escape": '"'}
 PLACEHOLDER_SUFFIX = ".placeholder"
 # Compressed files are read like plain ones.
@@ -85,6 +86,9 @@ def read_csv_by_name(
     """
     reader = spark.read.options(**CSV_OPTIONS, **options).option("enforceSchema", False)
     text = reader.csv(paths)
+    if any(not isinstance(f.dataType, T.StringType) for f in text.schema):
+        # names of folders keep their leading zeros only as text
+        text = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in text.columns])).csv(paths)
     return text.select(
         *[
             (F.col(f"`{f.name}`") if f.name in text.columns else F.lit(None))
@@ -104,25 +108,14 @@ def union_files(frames: list[DataFrame]) -> DataFrame:
     return result
 
 
-def list_files(spark: SparkSession, base: str) -> DataFrame:
-    """Path and size of every file below `base`; file contents are not read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(unquote(base))
-        .select("path", "length", "modificationTime")
-    )
-
-
 def _is_data(path: Column) -> Column:
     manifest = path.endswith(MANIFEST_SUFFIX) | path.contains(MANIFEST_FOLDER)
     return path.rlike(DATA_FILE) & ~manifest
 
 
-def _manifested(spark: SparkSession, folders: list[str], records: DataFrame, path: Column) -> DataFrame:
-    """Records outside of batch folders, and those of batches with a manifest row."""
-    rows = spark.read.schema(MANIFEST_SCHEMA).option("recursiveFileLookup", True).json(folders)
-    done = rows.select(F.explode(F.array("json_path", "csv_path", F.lit(""))).alias("_done")).distinct()
+def _manifested(live: DataFrame, fmt: str, records: DataFrame, path: Column) -> DataFrame:
+    """Records outside of batch folders, and those of batches with a manifest row that counts."""
+    done = live.select(F.explode(F.array(f"{fmt}_path", F.lit(""))).alias("_done")).distinct()
     folder = F.regexp_extract(path, BATCH_FOLDER, 1)
     return records.withColumn("_folder", folder).join(done, F.col("_folder") == F.col("_done"), "left_semi")
 
@@ -136,10 +129,11 @@ def load_raw(
     """All raw records below `base`: JSON files if there are any, else CSV, plain or compressed.
 
     If the ingest has left manifests below `base`, only its manifested batches count, so an attempt
-    that did not finish adds nothing. There are no file or row caps.
+    that did not finish adds nothing. There are no file or row caps. Which files there are is read from
+    the folder's index, if it has one, so only Spark's reader lists them.
     """
     data = _is_data(F.col("path"))
-    kinds = list_files(spark, base).agg(
+    kinds = files_below(spark, base).agg(
         F.count_if(F.col("path").rlike(r"\.json(\.|$)") & data).alias("json"),
         F.count_if(F.col("path").rlike(r"\.csv(\.|$)") & data).alias("csv"),
         # one folder per ingest
@@ -149,6 +143,12 @@ def load_raw(
     fmt = "json" if found["json"] else "csv"
     if not found[fmt]:
         raise FileNotFoundError(f"no data files below {base}")
+    live = None
+    if manifests := [folder for folder in found["manifests"] if folder]:
+        # before the data is listed, so that every batch named here is among them
+        live = live_manifests(spark, manifests)
+        if fmt == "csv" and not live.filter("NOT csv_saved AND record_count > 0").isEmpty():
+            raise FileNotFoundError(f"a batch below {base} has neither a JSON nor a CSV copy")
     below = {"recursiveFileLookup": True, "pathGlobFilter": f"*.{fmt}{{,.{PACKED.replace(',', ',.')}}}"}
     path = F.col("_metadata.file_path")
     if fmt == "csv":
@@ -157,8 +157,8 @@ def load_raw(
     else:
         records = spark.read.schema(schema).options(**below).option("multiLine", multi_line).json(base)
         records = records.filter(_is_data(path))
-    if manifests := [folder for folder in found["manifests"] if folder]:
-        records = _manifested(spark, manifests, records, path)
+    if live is not None:
+        records = _manifested(live, fmt, records, path)
     return records.select(*schema.fieldNames())
 
 
@@ -169,7 +169,7 @@ def pick_main_file(spark: SparkSession, folder: str) -> DataFrame:
     """
     dataset = F.regexp_extract("path", r"(?i)^(.*?\.csv(?:\.[a-z0-9]+)?)(?:/|$)", 1)
     return (
-        list_files(spark, folder)
+        files_below(spark, folder)
         .filter(F.col("path").rlike(r"(?i)\.csv(\.[a-z0-9]+)?$"))
         .groupBy(dataset.alias("path"))
         .agg(F.sum("length").alias("length"))
@@ -180,7 +180,7 @@ def pick_main_file(spark: SparkSession, folder: str) -> DataFrame:
 
 def has_enough_data(spark: SparkSession, base: str, min_files: int = 3) -> bool:
     """Whether at least `min_files` data files, manifests not counted, lie below `base`."""
-    return list_files(spark, base).filter(_is_data(F.col("path"))).limit(min_files).count() >= min_files
+    return files_below(spark, base).filter(_is_data(F.col("path"))).limit(min_files).count() >= min_files
 
 
 def lake_inventory(spark: SparkSession, base: str) -> DataFrame:
@@ -191,7 +191,7 @@ def lake_inventory(spark: SparkSession, base: str) -> DataFrame:
     below = F.col("path").substr(F.locate(start, "path") + F.lit(len(start)), F.length("path"))
     zone = F.when(below.contains("/"), F.substring_index(below, "/", 1))
     return (
-        list_files(spark, base)
+        files_below(spark, base)
         .filter(~F.col("path").endswith(PLACEHOLDER_SUFFIX))
         .groupBy(zone.alias("zone"), suffix.alias("format"))
         .agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))

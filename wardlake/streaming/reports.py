@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections import deque
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
@@ -28,35 +28,42 @@ def ingest_totals(messages: DataFrame, ts: str) -> DataFrame:
     )
 
 
-def windowed_counts(messages: DataFrame, ts: str, width: str = "1 hour") -> DataFrame:
-    """Messages per tumbling window; on a stream with a watermark it can run in append mode."""
+def windowed_counts(
+    messages: DataFrame, ts: str, width: str = "1 hour", counted: Column | None = None
+) -> DataFrame:
+    """Messages per tumbling window; on a stream with a watermark it can run in append mode.
+
+    `counted` is an aggregate to use in place of the number of rows.
+    """
+    amount = F.count("*") if counted is None else counted
     return (
         messages.groupBy(F.window(ts, width).alias("w"))
-        .agg(F.count("*").alias("messages"))
+        .agg(amount.alias("messages"))
         .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "messages")
     )
 
 
-def rate_timeline(messages: DataFrame, ts: str, width: str = "1 hour") -> DataFrame:
-    """Per window: messages, rate, and the running total.
+def day_totals(windows: DataFrame) -> DataFrame:
+    """Messages per day of windows that do not cross midnight."""
+    return windows.groupBy(F.to_date("window_start").alias("day")).agg(F.sum("messages").alias("of_day"))
+
+
+def with_running_total(windows: DataFrame, days: DataFrame) -> DataFrame:
+    """Rate of each window and the running total up to it.
 
     The running total has two levels: within each day, side by side, and over the days, of which
-    there is one row each. Both read the same counted windows.
+    there is one row each.
     """
-    counted = windowed_counts(messages, ts, width).withColumn("day", F.to_date("window_start"))
     within = Window.partitionBy("day").orderBy("window_start")
     so_far = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     earlier = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    days = (
-        counted.groupBy("day")
-        .agg(F.sum("messages").alias("of_day"))
-        .select(F.col("day"), F.coalesce(F.sum("of_day").over(earlier), F.lit(0)).alias("before"))
-    )
+    before = days.select("day", F.coalesce(F.sum("of_day").over(earlier), F.lit(0)).alias("before"))
     seconds = (
         F.unix_micros(F.col("window_end").cast("timestamp"))
         - F.unix_micros(F.col("window_start").cast("timestamp"))
     ) / 1e6
-    return counted.withColumn("inside", F.sum("messages").over(so_far)).join(days, "day").select(
+    dated = windows.withColumn("day", F.to_date("window_start"))
+    return dated.withColumn("inside", F.sum("messages").over(so_far)).join(before, "day").select(
         "window_start",
         "messages",
         guarded_rate(F.col("messages"), seconds).alias("messages_per_second"),
@@ -64,36 +71,12 @@ def rate_timeline(messages: DataFrame, ts: str, width: str = "1 hour") -> DataFr
     )
 
 
-def stream_timeline(
-    messages: DataFrame, base: str, ts: str, width: str = "1 hour", late: str = "1 hour"
-) -> StreamingQuery:
-    """Start windowed counting of a message stream, drained to a table below `base`.
-
-    Every micro-batch writes the windows it changed; read_timeline takes the newest count of each.
-    Messages more than `late` behind the newest one are no longer counted.
-    """
-
-    def write(changed: DataFrame, batch_id: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{base}/timeline/batch_id={batch_id}")
-
-    timed = messages.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late)
-    return (
-        windowed_counts(timed, ts, width)
-        .writeStream.outputMode("update")
-        .foreachBatch(write)
-        .option("checkpointLocation", f"{base}/_timeline")
-        .trigger(availableNow=True)
-        .start()
-    )
-
-
-def read_timeline(spark: SparkSession, base: str) -> DataFrame:
-    """Windows written by stream_timeline; counts only grow, so the largest is the newest."""
-    return (
-        spark.read.parquet(f"{base}/timeline")
-        .groupBy("window_start")
-        .agg(F.max("messages").alias("messages"))
-    )
+def rate_timeline(
+    messages: DataFrame, ts: str, width: str = "1 hour", counted: Column | None = None
+) -> DataFrame:
+    """Per window: messages, rate, and the running total. Days are summed from the same windows."""
+    windows = windowed_counts(messages, ts, width, counted)
+    return with_running_total(windows, day_totals(windows))
 
 
 def freshness_report(messages: DataFrame, key: str, ts: str, is_error) -> DataFrame:
