@@ -1,5 +1,7 @@
 """Order of report rows, and properties that hold for any data."""
 
+from decimal import Decimal
+
 import pytest
 
 from wardlake.operators.profile import column_profile
@@ -75,3 +77,20 @@ def test_empty_relation(zone):
         assert query(empty).collect() == []
     assert {r.total_records for r in column_profile(empty).collect()} == {0}
     assert cap_training_rows(empty, 10).count() == 0
+
+
+def test_distinct_values_in_bitmaps_and_as_values(spark):
+    """Narrow and wide whole numbers, cents, fractions, signs, zeros, NaN, decimals, texts and nulls."""
+    nan = float("nan")
+    rows = [
+        (i, i % 7 - 3, i * 10**9, i / 100, i / 7, (0.0, -0.0, nan, 1.5)[i % 4], Decimal(i % 5) / 10, f"t{i % 11}", None, i % 2 == 0)
+        for i in range(500)
+    ]
+    schema = "id bigint, small int, wide bigint, cents double, parts double, odd double, d decimal(6,2), t string, none double, b boolean"
+    df = spark.createDataFrame(rows + [(None,) * 10], schema).repartition(4)
+    got = {r.field_name: r for r in column_profile(df).collect()}
+    expected = dict(id=500, small=7, wide=500, cents=500, parts=500, odd=3, d=5, t=11, none=0, b=2)
+    assert {n: r.distinct_values for n, r in got.items()} == expected
+    assert (got["small"].min_number, got["small"].max_number, got["id"].non_null_records) == (-3.0, 3.0, 500)
+    plan = column_profile(df)._jdf.queryExecution().toString()
+    assert "bitmap_construct_agg" in plan

@@ -57,7 +57,7 @@ def test_reports_read_once(spark, sf_dir):
     assert scans(fresh) <= 1 and "ReusedExchange" in fresh._jdf.queryExecution().executedPlan().toString()
 
 
-def test_column_profile_reads_twice(zone):
+def test_column_profile_reads_every_column_once_for_distinct_values(zone):
     assert scans(profile.column_profile(zone)) == 2
 
 
