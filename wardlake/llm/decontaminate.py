@@ -3,8 +3,10 @@
 Every benchmark item is cut into windows of `window` consecutive words; an item of fewer words is
 one window. A window is the set of its word shingles at their offsets. A document contains a window
 only if it holds all of the window's shingles, so under a global order by rarity in the corpus the
-rarest shingle alone is the necessary prefix. Documents are joined on those prefix shingles, the
-position and length bounds place the window, and the words at that place are compared exactly.
+rarest shingle alone is the necessary prefix. Every text is cut into words and shingles once, and the
+places of shingles that some window has are written to the shared folder. Their counts give the order,
+the places of prefix shingles are the candidates, the position and length bounds place the window, and
+the words at that place, cut again only for documents with candidates, are compared exactly.
 
 Defined cases: null or wordless texts have no words, windows or hits; wordless items match nothing.
 Rows with the same id and text are judged alike and each is returned. A null id is an id of its own.
@@ -16,7 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardlake.llm.common import ascii_lower, broadcast_if_small, small, stored
+from wardlake.llm.common import ascii_lower, broadcast_if_small, stored
+from wardlake.session import unused
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
@@ -60,20 +63,23 @@ def window_shingles(windows: DataFrame, lengths: list[int]) -> DataFrame:
     return distinct.select("window_text", "window_size", F.posexplode(own).alias("offset", "shingle"))
 
 
-def placed_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """(id, print, window_text, start, stop): every occurrence of a window in a document."""
-    size = F.least(F.col("window_size"), F.lit(SHINGLE))
-    lengths = sorted(r[0] for r in windows.select(size).distinct().collect())  # 1 to SHINGLE
-    tokens = window_shingles(windows, lengths)
+def shingle_places(docs: DataFrame, tokens: DataFrame, lengths: list[int]) -> DataFrame:
+    """(id, print, at, shingle, n_words): places of the known shingles, and a row without a place per document."""
     words = docs.select("id", "print", words_of(F.col("text")).alias("words"))
-    doc_tokens = F.concat(F.array().cast("array<bigint>"), *[shingles(F.col("words"), n) for n in lengths])
-    known = broadcast_if_small(tokens.select("shingle").distinct())
-    rarity = (
-        words.select(F.explode(doc_tokens).alias("shingle"))
-        .join(known, "shingle", "left_semi")
-        .groupBy("shingle")
-        .agg(F.count("*").alias("seen"))
-    )
+    whole = F.struct(F.lit(-1).alias("at"), F.lit(None).cast("bigint").alias("shingle"))
+    # a position counts within the shingles of its own length
+    runs = [
+        F.transform(shingles(F.col("words"), n), lambda h, i: F.struct(i.alias("at"), h.alias("shingle"))) for n in lengths
+    ]
+    rows = words.select("id", "print", F.size("words").alias("n_words"), F.inline(F.concat(F.array(whole), *runs)))
+    known = broadcast_if_small(tokens.select("shingle").distinct()).withColumn("known", F.lit(True))
+    return rows.join(known, "shingle", "left").filter("known or at < 0").drop("known")
+
+
+def placed_windows(docs: DataFrame, places: DataFrame, tokens: DataFrame) -> DataFrame:
+    """(id, print, window_text, start, stop): every occurrence of a window in a document."""
+    found = places.filter("at >= 0")
+    rarity = found.groupBy("shingle").agg(F.count("*").alias("seen"))
     # no document holds a window with a shingle that was never seen
     rarest = F.min(F.struct("seen", "offset", "shingle"))
     prefix = (
@@ -84,32 +90,21 @@ def placed_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
         .filter("rarest.seen > 0")
         .select("window_text", "window_size", "rarest.offset", "rarest.shingle")
     )
-    # a position counts within the shingles of its own length
-    placed = [
-        F.transform(shingles(F.col("words"), n), lambda h, i: F.struct(i.alias("at"), h.alias("shingle")))
-        for n in lengths
-    ]
-    runs = F.concat(F.array().cast("array<struct<at:int,shingle:bigint>>"), *placed)
     start = F.col("at") - F.col("offset")
-    inside = (start >= 0) & (start + F.col("window_size") <= F.size("words"))
-    same = F.array_join(F.slice("words", start + 1, F.col("window_size")), " ") == F.col("window_text")
-    found = [
-        "id",
-        "print",
-        "window_text",
-        start.alias("start"),
-        (start + F.col("window_size")).alias("stop"),
-    ]
-    if small(windows):
-        at_words = words.select("id", "print", "words", F.inline(runs))
-        joined = at_words.join(F.broadcast(prefix), "shingle")
-        return joined.filter(inside & same).select(*found)
-    # too many windows to broadcast: shuffle positions only, then fetch the words of candidates
-    at_words = words.select("id", "print", F.inline(runs))
-    candidates = at_words.join(prefix, "shingle").filter(start >= 0)
-    again = words.select(F.col("id").alias("id_"), F.col("print").alias("print_"), "words")
-    by_row = candidates["id"].eqNullSafe(again["id_"]) & (candidates["print"] == again["print_"])
-    return candidates.join(again, by_row).filter(inside & same).select(*found).distinct()
+    inside = (start >= 0) & (start + F.col("window_size") <= F.col("n_words"))
+    candidates = found.join(broadcast_if_small(stored(prefix, "prefixes")), "shingle").filter(inside)
+    candidates = candidates.select("id", "print", start.alias("start"), "window_size", "window_text").distinct()
+    candidates = stored(candidates, "candidates")
+    named = candidates.select(F.col("id").alias("id_"), F.col("print").alias("print_")).distinct()
+    named = broadcast_if_small(stored(named, "candidate-documents"))
+    own = docs.join(named, docs["id"].eqNullSafe(F.col("id_")) & (docs["print"] == F.col("print_")), "left_semi")
+    words = own.dropDuplicates(["id", "print"]).select(
+        F.col("id").alias("id_"), F.col("print").alias("print_"), words_of(F.col("text")).alias("words")
+    )
+    by_row = F.col("id").eqNullSafe(F.col("id_")) & (F.col("print") == F.col("print_"))
+    same = F.array_join(F.slice("words", F.col("start") + 1, F.col("window_size")), " ") == F.col("window_text")
+    stop = (F.col("start") + F.col("window_size")).alias("stop")
+    return candidates.join(words, by_row).filter(same).select("id", "print", "window_text", "start", stop)
 
 
 def contamination(
@@ -128,7 +123,11 @@ def contamination(
     print_ = F.xxhash64(F.col(text)).alias("print")
     source = docs.select(F.col(doc_id).alias("id"), print_, F.col(text).alias("text"))
     windows = item_windows(items, item_id, item_text, window)
-    placed = stored(placed_windows(source, windows), "windows")
+    size = F.least(F.col("window_size"), F.lit(SHINGLE))
+    lengths = sorted(r[0] for r in windows.select(size).distinct().collect())  # 1 to SHINGLE
+    tokens = window_shingles(windows, lengths)
+    places = stored(shingle_places(source, tokens, lengths), "shingles")
+    placed = stored(placed_windows(source, places, tokens), "windows")
     covered = F.aggregate(
         F.array_sort(F.collect_set(F.struct("start", "stop"))),
         F.struct(F.lit(0).alias("hit"), F.lit(0).alias("reach")),
@@ -148,7 +147,7 @@ def contamination(
     found = hits.join(named, hits["id"].eqNullSafe(named["id"]) & (hits["print"] == named["print"]), "left").select(
         hits["id"].alias("id_"), hits["print"].alias("print_"), "n_hit", "items"
     )
-    rows = source.select("id", "print", F.size(words_of(F.col("text"))).cast("bigint").alias("n_words"))
+    rows = places.filter("at < 0").select("id", "print", F.col("n_words").cast("bigint").alias("n_words"))
     return rows.join(found, rows["id"].eqNullSafe(found["id_"]) & (rows["print"] == found["print_"]), "left").select(
         F.col("id").alias(doc_id),
         "print",
@@ -162,7 +161,8 @@ def contamination(
 def drop_contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", **names) -> DataFrame:
     """The documents without any benchmark window, with all their columns."""
     judged = contamination(docs, items, doc_id, text, **names)
-    bad = judged.filter("contaminated").select(F.col(doc_id).alias("_id"), F.col("print").alias("_print")).distinct()
+    id_, print_ = unused(docs, "id", "print")
+    bad = judged.filter("contaminated").select(F.col(doc_id).alias(id_), F.col("print").alias(print_)).distinct()
     bad = broadcast_if_small(stored(bad, "contaminated"))
-    same = F.col(f"`{doc_id}`").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("_print"))
+    same = F.col(f"`{doc_id}`").eqNullSafe(F.col(id_)) & (F.xxhash64(F.col(f"`{text}`")) == F.col(print_))
     return docs.join(bad, same, "left_anti")
