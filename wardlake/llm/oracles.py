@@ -14,9 +14,11 @@ def _quoted(text: str) -> str:
 
 
 def _license_sql() -> str:
-    known = " ".join(
-        f"WHEN regexp_matches(s, {_quoted(f'(^| ){pattern}')}) THEN '{name}'" for name, pattern in licenses.SENTENCES
-    )
+    def first(group: list[tuple[str, str]]) -> str:
+        fits = " ".join(f"WHEN regexp_matches(s, {_quoted(f'(^| ){pattern}')}) THEN '{name}'" for name, pattern in group)
+        return f"CASE {fits} END"
+
+    known = ", ".join(first(group) for group in licenses.SENTENCES)
     steps, found, left = [], [], "sequence"
     for k, (name, pattern) in enumerate(licenses.RULES):
         whole = _quoted(f"(?:^|,)(?:{pattern})")
@@ -28,14 +30,18 @@ def _license_sql() -> str:
         left = f"l{k}"
     first_of_each = f"list_filter([{', '.join(found)}], lambda x: x IS NOT NULL)"
     return f"""
-WITH parts AS (
-  SELECT doc_id, string_split_regex(COALESCE(text, ''), {_quoted(licenses.SENTENCE_END)}) AS sentences FROM documents
+WITH bare AS (
+  SELECT doc_id, regexp_replace(chr(10) || COALESCE(text, ''), {_quoted(licenses.LINE_BEGIN)}, chr(10), 'g') AS t
+  FROM documents
+), parts AS (
+  SELECT doc_id, string_split_regex(regexp_replace(t, {_quoted(f"({licenses.SPDX_TAG}[^" + chr(92) + "n]*)")},
+    '{chr(92)}1' || chr(10) || chr(10), 'g'), {_quoted(licenses.SENTENCE_END)}) AS sentences FROM bare
 ), ids AS (
-  SELECT doc_id, len(list_filter(sentences, lambda s: trim(s, ' ') <> '')) AS n_sentences,
-    list_filter(list_transform(list_transform(
+  SELECT doc_id, len(list_filter(sentences, lambda s: trim(s, ' ' || chr(10)) <> '')) AS n_sentences,
+    flatten(list_transform(list_transform(
       list_filter(sentences, lambda s: regexp_matches(s, {_quoted('(?i)' + licenses.HINT)})),
       lambda s: trim(regexp_replace({LOWER.format('s')}, '[^a-z0-9.+/-]+', ' ', 'g'))),
-      lambda s: CASE {known} END), lambda x: x IS NOT NULL) AS ids
+      lambda s: list_filter([{known}], lambda x: x IS NOT NULL))) AS ids
   FROM parts
 ), seq AS (
   SELECT doc_id, n_sentences, array_to_string(ids, ',') AS sentence_ids,
