@@ -8,8 +8,9 @@ expected number of uses of each piece, which Spark adds up per language.
 The model is fitted on at most `per_language` documents of each language, those with the smallest
 hash of their id. Prediction reads whole texts and nothing but the text.
 
-Words are runs of letters in lower case with a mark in front; a run of more than `LONGEST` letters is
-scored in parts of that many. A letter that no piece covers costs the same in every language.
+Words are letters with the letters and marks behind them, by Unicode category, in lower case with a mark in
+front. Words of any length are summed as a whole: long ones by logarithms, as their probabilities are too
+small for a double. A letter that no piece covers costs the same in every language.
 
 Defined cases: texts that are null or have no letter are `und` with score 0. Ties go to the first
 language by name. Without any training document all texts are `und`. Null languages are not learned
@@ -25,18 +26,23 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardlake.llm.common import broadcast_if_small
-from wardlake.llm.flat import IntTable, chunks
+from wardlake.llm.flat import IntTable, chunks, release_memory
+from wardlake.session import unused
 
 UND = "und"
 MARK = "▁"
-LETTERS = re.compile(r"[^\W\d_]+")
-LONGEST = 64
-LONGEST_PIECE = 10
+# A word is a letter and the letters and marks behind it; numbers such as "½" are none of these.
+LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+ASCII_LETTERS = re.compile(r"[a-z]+")
+# A probability of at most so many letters is no smaller than a double can be; longer words are summed as logarithms.
+LONGEST = 30
 PER_LANGUAGE = 400
+SLICES = 64
 ROUNDS = 3
 SMOOTHING = 0.05
 UNKNOWN = 1e-9  # probability of a letter without a piece
@@ -46,10 +52,8 @@ CODES = 0x110000
 
 
 def words_of(text: str) -> list[str]:
-    words = LETTERS.findall(text.lower())
-    if max(map(len, words), default=0) <= LONGEST:
-        return words
-    return [w[i : i + LONGEST] for w in words for i in range(0, len(w), LONGEST)]
+    lowered = text.lower()
+    return (ASCII_LETTERS if lowered.isascii() else LETTERS).findall(lowered)
 
 
 @lru_cache(maxsize=4)
@@ -59,7 +63,7 @@ def vocabulary(model: bytes) -> list[str]:
 
     processor = sentencepiece.SentencePieceProcessor(model_proto=model)
     pieces = {processor.id_to_piece(i).lower() for i in range(processor.get_piece_size())}
-    body = {p for p in pieces if p.removeprefix(MARK).isalpha() and len(p) <= LONGEST_PIECE}
+    body = {p for p in pieces if LETTERS.fullmatch(p.removeprefix(MARK))}
     return sorted(body | {MARK})
 
 
@@ -117,7 +121,9 @@ def lattice(words: list[str], trie: Trie) -> Lattice:
     starts, stops, pieces = [], [], []
     here, node = np.arange(len(chars)), np.zeros(len(chars), np.int64)
     covered = np.zeros(len(chars), bool)
-    for length in range(1, LONGEST_PIECE + 1):
+    length = 0
+    while True:  # to the longest piece
+        length += 1
         at = here + length - 1
         inside = inner[here] + length <= size[word[here]]
         here, node, at = here[inside], node[inside], at[inside]
@@ -172,14 +178,39 @@ def backward(net: Lattice, weight: np.ndarray) -> np.ndarray:
     return total
 
 
+def log_forward(net: Lattice, weight: np.ndarray) -> np.ndarray:
+    """Logarithms of `forward`, for words whose probabilities are too small for a double."""
+    with np.errstate(divide="ignore"):
+        logs = np.log(weight)
+    total = np.full((int(net.first[-1] + net.size[-1] + 1), weight.shape[1]), -np.inf)
+    total[net.first] = 0.0
+    for a, b in zip(net.depth[:-1].tolist(), net.depth[1:].tolist()):
+        if a < b:
+            stop = net.stop[a:b]
+            cut = np.flatnonzero(np.diff(stop, prepend=-1))
+            total[stop[cut]] = np.logaddexp.reduceat(total[net.start[a:b]] + logs[net.piece[a:b]], cut, axis=0)
+    return total
+
+
 def word_scores(words: list[str], trie: Trie, weight: np.ndarray) -> np.ndarray:
-    """Natural log probability of each word in each language."""
-    net = lattice(words, trie)
-    return np.log(np.maximum(forward(net, weight)[net.first + net.size], 1e-300))
+    """Natural log probability of each word in each language, summed over all its cuts into pieces."""
+    scores = np.empty((len(words), weight.shape[1]))
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    for some, is_long in ((np.flatnonzero(sizes <= LONGEST), False), (np.flatnonzero(sizes > LONGEST), True)):
+        if len(some):
+            net = lattice([words[i] for i in some.tolist()], trie)
+            ends = net.first + net.size
+            scores[some] = log_forward(net, weight)[ends] if is_long else np.log(forward(net, weight)[ends])
+    return scores
 
 
 def expected_uses(words: list[str], counts: np.ndarray, trie: Trie, weight: np.ndarray) -> np.ndarray:
-    """Expected uses of each piece per language, given how often each word occurs in each."""
+    """Expected uses of each piece per language, given how often each word occurs in each.
+
+    A long word counts as its stretches of `LONGEST` letters, whose probabilities a double can hold.
+    """
+    counts = np.repeat(counts, [-(-len(w) // LONGEST) for w in words], axis=0)
+    words = [w[i : i + LONGEST] for w in words for i in range(0, len(w), LONGEST)]
     net = lattice(words, trie)
     ahead, behind = forward(net, weight), backward(net, weight)
     whole = np.maximum(ahead[net.first + net.size], 1e-300)
@@ -202,10 +233,16 @@ def with_unknown(weight: np.ndarray) -> np.ndarray:
 
 
 def training_ids(docs: DataFrame, per_language: int) -> DataFrame:
-    """(id, lang) of the documents the model is fitted on, at most `per_language` each."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
+    """(id, lang) of the documents the model is fitted on, at most `per_language` each.
+
+    Those with the smallest hashes, first within each of `SLICES` slices of a language and then of these.
+    """
     ranked = docs.filter("lang is not null and id is not null").select("id", "lang").distinct()
-    return ranked.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= per_language).drop("rank")
+    ranked = ranked.withColumn("hash", F.xxhash64("id")).withColumn("slice", F.pmod("hash", F.lit(SLICES)))
+    for keys in (["lang", "slice"], ["lang"]):
+        order = Window.partitionBy(*keys).orderBy("hash", "id")
+        ranked = ranked.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= per_language)
+    return ranked.select("id", "lang")
 
 
 def fit(docs: DataFrame, model: bytes, per_language: int = PER_LANGUAGE, rounds: int = ROUNDS) -> Model:
@@ -300,6 +337,8 @@ def predict(text: Column, model: Model) -> Column:
                 [pa.array([j[0] for j in judged], pa.string()), pa.array([j[1] for j in judged], pa.float64())],
                 ["lang", "score"],
             )
+        del scorer
+        release_memory()
 
     return run(text)
 
@@ -312,14 +351,15 @@ def identify(
     text: str = "text",
     lang: str = "lang",
     per_language: int = PER_LANGUAGE,
+    names: tuple[str, str] = ("lang_pred", "score"),
 ) -> DataFrame:
-    """All columns of docs, and `lang_pred` and `score`; learns only from rows where `training` holds."""
+    """All columns of docs, and two more for language and score; learns only from rows where `training` holds."""
     learned = fit(
         docs.filter(training).select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang")),
         model,
         per_language,
     )
-    judged = docs.withColumn("_judged", predict(F.col(text), learned))
-    return judged.select(
-        *[F.col(f"`{c}`") for c in docs.columns], F.col("_judged.lang").alias("lang_pred"), F.col("_judged.score").alias("score")
-    )
+    (judged,) = unused(docs, "judged")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    both = [F.col(judged)[part].alias(name) for part, name in zip(("lang", "score"), names)]
+    return docs.withColumn(judged, predict(F.col(f"`{text}`"), learned)).select(*columns, *both)
