@@ -6,7 +6,9 @@ longest single text.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
+from contextlib import suppress
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,6 +21,13 @@ _MIX1 = np.uint64(0xBF58476D1CE4E5B9)
 _MIX2 = np.uint64(0x94D049BB133111EB)
 
 
+def release_memory() -> None:
+    """Give memory that a task has freed back to the system: workers are kept for later tasks."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """Spread 64-bit values; equal values stay equal, different ones stay different."""
     x = (x ^ (x >> np.uint64(30))) * _MIX1

@@ -38,8 +38,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardlake.llm.common import broadcast_if_small, stored
-from wardlake.llm.flat import chunks, mixed, multipliers, run_hashes, split_words
+from wardlake.llm.flat import chunks, mixed, multipliers, release_memory, run_hashes, split_words
 from wardlake.llm.graph import components
+from wardlake.session import unused
 
 WORDS = 5
 SIMILARITY = (8, 10)
@@ -117,6 +118,7 @@ def signatures(docs: DataFrame, words: int, coordinates: int) -> DataFrame:
                 ],
                 schema=schema,
             )
+        release_memory()
 
     out = "id bigint, print bigint, n_shingles bigint, class binary, signature array<bigint>, sketch array<bigint>"
     return docs.select("id", "print", "text").mapInArrow(run, out)
@@ -207,6 +209,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int,
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 good.append(common * ratio[1] >= (len(x) + len(y) - common) * ratio[0])
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+        release_memory()
 
     return both.mapInArrow(check, "a binary, b binary")
 
@@ -267,10 +270,11 @@ def near_duplicates(
 def drop_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One document of each component, with all its columns; of rows equal in id and text, one."""
     judged = stored(near_duplicates(docs, doc_id, text, **options), "judged")
-    key = judged.select(F.col(doc_id).alias("_id"), F.col("print").alias("_print"), "kept")
-    same = F.col(f"`{doc_id}`").cast("bigint").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("_print"))
-    again = stored(key.filter("kept").groupBy("_id", "_print").count().filter("count > 1").drop("count"), "again")
-    gone = key.filter("not kept").select("_id", "_print").distinct()
+    id_, print_ = unused(docs, "id", "print")
+    key = judged.select(F.col(doc_id).alias(id_), F.col("print").alias(print_), "kept")
+    same = F.col(f"`{doc_id}`").cast("bigint").eqNullSafe(F.col(id_)) & (F.xxhash64(F.col(f"`{text}`")) == F.col(print_))
+    again = stored(key.filter("kept").groupBy(id_, print_).count().filter("count > 1").drop("count"), "again")
+    gone = key.filter("not kept").select(id_, print_).distinct()
     single = docs.join(broadcast_if_small(stored(gone.union(again), "gone")), same, "left_anti")
     if again.isEmpty():
         return single

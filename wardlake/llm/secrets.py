@@ -26,7 +26,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardlake.llm.common import broadcast_if_small, stored
+from wardlake.llm.common import BROADCAST_ROWS, stored
+from wardlake.llm.flat import release_memory
+from wardlake.session import unused
 
 FINDINGS = "array<struct<kind:string,start:int,stop:int>>"
 LEDGER = f"blob binary, rules array<string>, findings {FINDINGS}"
@@ -62,11 +64,17 @@ RULES = (
     ),
     Rule("access", r"AKIA[A-Z0-9]+", 20, hints=("akia",)),
     Rule("hex", r"[0-9a-f]{24,}"),
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----[\s\S]*?-----END [A-Z ]*PRIVATE KEY-----", hints=("-----begin",)),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", hints=(".eyj",)),
+    # from the last of several marks of a beginning: a text of nothing but such marks is read once
+    Rule(
+        "pem",
+        r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?!-----BEGIN )[\s\S])*?-----END [A-Z ]*PRIVATE KEY-----",
+        hints=("-----begin",),
+    ),
+    # these begin where a run of their characters does: a long run is tried once, not at each of its places
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", hints=(".eyj",)),
     Rule("hosting", r"gh[pousr]_[A-Za-z0-9]{36,}", hints=("gh",)),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}", hints=("xox",)),
-    Rule("login", r"[a-z][a-z0-9+.-]*://[^\s/:@]+:[^\s/:@]+@", hints=("://",)),
+    Rule("login", r"(?<![A-Za-z0-9+.-])[a-z][a-z0-9+.-]{0,31}://[^\s/:@]+:[^\s/:@]+@", hints=("://",)),
 )
 BASE_KINDS = ("assign", "access", "hex")
 
@@ -129,6 +137,7 @@ def scan_unseen(versions: DataFrame, ledger: str, text: str, rules: tuple[Rule,
             ]
             findings = pa.array(rows, schema.field("findings").type)
             yield pa.RecordBatch.from_arrays([batch.column("blob"), batch.column("rules"), findings], schema=schema)
+        release_memory()
 
     unseen = todo.filter(F.size("rules") > 0).select("blob", "text", "rules")
     unseen.mapInArrow(scan, LEDGER).write.mode("append").parquet(ledger)
@@ -168,12 +177,17 @@ def scan(
 def redact(docs: DataFrame, ledger: str, text: str = "text", rules: tuple[Rule, ...] = RULES, mark: str = "[SECRET]") -> DataFrame:
     """The documents with every finding replaced by a mark; all other columns as they are."""
     scan_unseen(docs, ledger, text, rules)
-    found = broadcast_if_small(stored(findings_by_blob(docs, ledger, rules), "findings"), 50_000)
+    found = stored(findings_by_blob(docs, ledger, rules), "findings")
+    # a row is as large as its findings, so these are counted
+    if (found.agg(F.sum(F.size("findings"))).first()[0] or 0) <= BROADCAST_ROWS:
+        found = F.broadcast(found)
     body = F.col(f"`{text}`")
-    joined = docs.join(found.select(F.col("blob").alias("_blob"), F.col("findings").alias("_findings")), blob_of(body) == F.col("_blob"), "left")
+    blob, findings = unused(docs, "blob", "findings")
+    found = found.select(F.col("blob").alias(blob), F.col("findings").alias(findings))
+    joined = docs.join(found, blob_of(body) == F.col(blob), "left")
     # spans that overlap get one mark
     step = F.aggregate(
-        "_findings",
+        findings,
         F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
         lambda acc, f: F.struct(
             F.when(
@@ -185,7 +199,7 @@ def redact(docs: DataFrame, ledger: str, text: str = "text", rules: tuple[Rule,
             F.greatest(acc["at"], f["stop"]).alias("at"),
         ),
     )
-    clean = F.when(F.col("_findings").isNull(), body).otherwise(
+    clean = F.when(F.col(findings).isNull(), body).otherwise(
         F.concat(step["out"], F.substring(body, step["at"] + 1, F.length(body)))
     )
     return joined.withColumn(text, clean).select(*[F.col(f"`{c}`") for c in docs.columns])
