@@ -228,6 +228,15 @@ def test_stages_keep_the_columns(spark, pipeline_dir):
     docs = spark.read.parquet(f"{pipeline_dir}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, pipeline_dir).columns == docs.columns
+    # columns named like those that the operators use inside or return are carried along as they are
+    names = "score lang_pred judged _judged findings _findings blob _blob ids n_tokens round_trip id _id print _print".split()
+    extra = docs.limit(40).withColumns({name: F.concat(F.lit(f"{name} "), "doc_id") for name in names})
+    extra = spark.createDataFrame(extra.collect(), extra.schema)
+    for _, stage in corpus_pipeline.STAGES:
+        kept = stage(spark, extra, pipeline_dir)
+        assert kept.columns[: len(extra.columns)] == extra.columns
+        rows = kept.collect()
+        assert rows and all(r[name] == f"{name} {r.doc_id}" for r in rows for name in names)
     empty = docs.filter(F.lit(False))
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, pipeline_dir).count() == 0

@@ -97,6 +97,55 @@ def test_forward_sums_all_segmentations():
     assert np.allclose(got, [brute_word(w, vocabulary, weight, 3) for w in words])
 
 
+def brute_log_word(word, vocabulary, weight, languages):
+    marked = langid.MARK + word
+    total = np.full((len(marked) + 1, languages), -np.inf)
+    total[0] = 0
+    for stop in range(1, len(marked) + 1):
+        for start in range(max(0, stop - 12), stop):
+            if marked[start:stop] in vocabulary:
+                total[stop] = np.logaddexp(total[stop], total[start] + np.log(weight[vocabulary[marked[start:stop]]]))
+        if marked[stop - 1] not in vocabulary:
+            total[stop] = np.logaddexp(total[stop], total[stop - 1] + np.log(langid.UNKNOWN))
+    return total[len(marked)]
+
+
+def test_long_words_are_summed_as_a_whole():
+    """Words over any bound, pieces of any length, and letters without a piece beside known ones."""
+    random.seed(6)
+    names = ("a", "ab", "abababababab", "b", "ba", "▁", "▁a", "▁b")
+    weight = langid.with_unknown(np.random.default_rng(1).random((len(names), 3)) / 10)
+    vocabulary = {n: i for i, n in enumerate(names)}
+    words = ["".join(random.choice("abq") for _ in range(n)) for n in (1, 29, 30, 31, 32, 64, 65, 200, 500)]
+    words += ["q" * 40 + "a", "q" * 40 + "b", "ab" * 100]
+    got = langid.word_scores(words, langid.trie_of(names), weight)
+    assert np.allclose(got, [brute_log_word(w, vocabulary, weight, 3) for w in words])
+    assert not np.allclose(got[-3], got[-2])  # what is known beside forty unknown letters still counts
+
+
+def test_words_are_letters_and_marks():
+    assert langid.words_of("½ ² Ⅷ ٣ 12_3 …") == []
+    assert langid.words_of("नमस्ते दुनिया") == ["नमस्ते", "दुनिया"]
+    assert langid.words_of("It's ÉCOLE-x2y\u0301") == ["it", "s", "école", "x", "y\u0301"]
+    assert langid.words_of("\u0301\u0302") == []
+
+
+def test_numbers_alone_are_no_language(spark, documents, piece_model):
+    rows = [(1, "the house"), (2, "½ ²"), (3, "Ⅷ 12"), (4, "\u0301"), (5, "x" * 20_000)]
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(documents(rows, lang="en"), F.lit(True), piece_model).collect()}
+    assert [got[i] for i in (2, 3, 4)] == [("und", 0.0)] * 3
+    assert got[1][0] == got[5][0] == "en"
+
+
+def test_training_choice_is_the_smallest_hashes(spark):
+    docs = spark.range(3000).select("id", F.when(F.col("id") % 10 < 8, "hot").otherwise("rare").alias("lang"))
+    docs = docs.union(docs.limit(50)).union(spark.createDataFrame([(None, "hot"), (5000, None)], "id bigint, lang string"))
+    got = sorted(tuple(r) for r in langid.training_ids(docs, 40).collect())
+    hashes = docs.filter("id is not null and lang is not null").distinct().withColumn("h", F.xxhash64("id")).collect()
+    expected = [sorted((r.h, r.id) for r in hashes if r.lang == g)[:40] for g in ("hot", "rare")]
+    assert got == sorted((i, g) for g, own in zip(("hot", "rare"), expected) for _, i in own)
+
+
 def test_expected_uses_add_up():
     names = ("a", "ab", "b", "▁", "▁a")
     weight = langid.with_unknown(np.full((len(names), 1), 0.2))
