@@ -17,16 +17,17 @@ from pyspark.sql import functions as F
 from wardlake.llm import decontaminate, langid, neardup, pieces, secrets
 from wardlake.llm.common import stored
 from wardlake.llm.queries import piece_model
-from wardlake.session import scratch_path
+from wardlake.session import scratch_path, unused
 
 LEAST_POSTERIOR = 0.5
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is clear; learns from the languages the documents name."""
-    judged = langid.identify(docs, F.col("lang").isNotNull(), piece_model(spark))
-    clear = (F.col("lang_pred") != langid.UND) & (F.col("score") >= LEAST_POSTERIOR)
-    return judged.filter(clear).drop("lang_pred", "score")
+    names = unused(docs, "lang_pred", "score")
+    judged = langid.identify(docs, F.col("lang").isNotNull(), piece_model(spark), names=tuple(names))
+    clear = (F.col(names[0]) != langid.UND) & (F.col(names[1]) >= LEAST_POSTERIOR)
+    return judged.filter(clear).drop(*names)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,13 +47,15 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def as_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with their token ids, and whether decoding gives the text back."""
+    """All documents with their token ids, how many they are, and whether decoding gives the text back.
+
+    The columns are `ids`, `n_tokens` and `round_trip`, with underscores in front where these names are taken.
+    """
     model = piece_model(spark)
-    encoded = docs.withColumn("ids", pieces.encode(F.col("text"), model))
-    decoded = pieces.decode(F.col("ids"), model)
-    return encoded.withColumn("n_tokens", F.size("ids").cast("bigint")).withColumn(
-        "round_trip", decoded == F.col("text")
-    )
+    ids, n_tokens, round_trip = unused(docs, "ids", "n_tokens", "round_trip")
+    encoded = docs.withColumn(ids, pieces.encode(F.col("text"), model))
+    decoded = pieces.decode(F.col(ids), model)
+    return encoded.withColumns({n_tokens: F.size(ids).cast("bigint"), round_trip: decoded == F.col("text")})
 
 
 STAGES = [
