@@ -37,6 +37,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession, rows: int = 1_000, size: str = "8m") -> None:
+    """Let the session hand texts to Python workers in batches of at most so many rows and bytes.
+
+    Spark's own limit is 10,000 rows. A batch is held by the executor, outside its heap, and by the worker;
+    documents are long, and the heap that a chain of jobs has grown to leaves little room beside it.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """Whether a frame has at most `rows` rows; looks at no more than it must."""
     return df.limit(rows + 1).count() <= rows
