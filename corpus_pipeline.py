@@ -2,7 +2,7 @@
 
 Every stage takes (spark, docs, sf_dir), works on all documents its predecessor kept and returns a
 DataFrame, which is written as Parquet to the shared folder and read again for the next one. All
-but the last return the columns of `documents`.
+but the last return the columns of `documents`. The stages set the session's Arrow batches to a size that suits texts.
 
 Defined cases: null and letterless texts are rejected by the first stage. A null id is an id of its
 own; rows equal in id and text count as copies. An empty table passes through all stages. Columns
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlake.llm import decontaminate, langid, neardup, pieces, secrets
-from wardlake.llm.common import stored
+from wardlake.llm.common import bounded_batches, stored
 from wardlake.llm.queries import piece_model
 from wardlake.session import scratch_path, unused
 
@@ -24,6 +24,7 @@ LEAST_POSTERIOR = 0.5
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is clear; learns from the languages the documents name."""
+    bounded_batches(spark)
     names = unused(docs, "lang_pred", "score")
     judged = langid.identify(docs, F.col("lang").isNotNull(), piece_model(spark), names=tuple(names))
     clear = (F.col(names[0]) != langid.UND) & (F.col(names[1]) >= LEAST_POSTERIOR)
@@ -32,16 +33,19 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
+    bounded_batches(spark)
     return neardup.drop_duplicates(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark passage."""
+    bounded_batches(spark)
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with every secret in their texts replaced by a mark."""
+    bounded_batches(spark)
     clean = secrets.redact(docs, scratch_path(spark, "ledger"))
     return clean.withColumn("n_chars", F.length("text").cast("bigint"))
 
@@ -51,6 +55,7 @@ def as_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The columns are `ids`, `n_tokens` and `round_trip`, with underscores in front where these names are taken.
     """
+    bounded_batches(spark)
     model = piece_model(spark)
     ids, n_tokens, round_trip = unused(docs, "ids", "n_tokens", "round_trip")
     encoded = docs.withColumn(ids, pieces.encode(F.col("text"), model))
