@@ -61,6 +61,9 @@ def test_columns_round_trip(spark, documents, piece_model):
     )
     assert all(r.back == (r.text or "") for r in rows.collect())
     assert documents([]).select(pieces.encode(F.col("text"), piece_model)).count() == 0
+    checked = docs.withColumn("both", pieces.encode_checked(F.col("text"), piece_model))
+    own = checked.select("text", pieces.encode(F.col("text"), piece_model).alias("ids"), "both.*").toDF("text", "ids", "ids2", "same")
+    assert all(r.ids == r.ids2 and r.same == (None if r.text is None else True) for r in own.collect())
 
 
 def test_table_finds_exactly_its_keys():

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from wardlake.llm.flat import IntTable, chunks, mixed, multipliers
+from wardlake.llm.flat import IntTable, chunks, mixed, multipliers, release_memory
 
 SPACE = "▁"
 NO_RANK = np.iinfo(np.int32).max
@@ -337,3 +337,25 @@ def decode(ids: Column, model: bytes) -> Column:
             yield pa.array([decode_ids(x, pieces) for x in lists], pa.string())
 
     return run(ids)
+
+
+def encode_checked(text: Column, model: bytes) -> Column:
+    """struct<ids, round_trip> of a text column: the ids, and whether decoding gives the text back (null for null).
+
+    One worker does both, so a job has half the workers that encoding and decoding by themselves have.
+    """
+
+    @F.arrow_udf("struct<ids:array<int>,round_trip:boolean>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        pieces = load_pieces(model)
+        for batch in batches:
+            ids = encode_texts(batch, pieces)
+            values, bounds = ids.values.to_numpy(), ids.offsets.to_pylist()
+            same = [
+                None if own is None else decode_ids(values[a:b].tolist(), pieces) == own
+                for own, (a, b) in zip((t.as_py() for t in batch), pairwise(bounds))
+            ]
+            yield pa.StructArray.from_arrays([ids, pa.array(same, pa.bool_())], ["ids", "round_trip"])
+        release_memory()
+
+    return run(text)
