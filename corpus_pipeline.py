@@ -58,9 +58,14 @@ def as_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     model = piece_model(spark)
     ids, n_tokens, round_trip = unused(docs, "ids", "n_tokens", "round_trip")
-    encoded = docs.withColumn(ids, pieces.encode(F.col("text"), model))
-    decoded = pieces.decode(F.col(ids), model)
-    return encoded.withColumns({n_tokens: F.size(ids).cast("bigint"), round_trip: decoded == F.col("text")})
+    (coded,) = unused(docs, "coded")
+    encoded = docs.withColumn(coded, pieces.encode_checked(F.col("text"), model))
+    return encoded.select(
+        *[F.col(f"`{c}`") for c in docs.columns],
+        F.col(coded)["ids"].alias(ids),
+        F.size(F.col(coded)["ids"]).cast("bigint").alias(n_tokens),
+        F.col(coded)["round_trip"].alias(round_trip),
+    )
 
 
 STAGES = [
