@@ -23,7 +23,7 @@ from wardlake.plans import catalogue, inputs, templates
 from wardlake.plans.discharges import raw_discharges, table, to_processed
 from wardlake.schema import NUMERIC_FEATURES, RAW_SCHEMA, TARGETS
 from wardlake.session import scratch_path
-from wardlake.sources import lake, messages, zones
+from wardlake.sources import file_index, lake, messages, zones
 from wardlake.streaming import ingest, progress, reports, timeline
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,21 +98,41 @@ def main_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return file_facts(lake.read_lake(spark, path, "csv", RAW_SCHEMA))
 
 
-def inventory_facts(inventory: DataFrame) -> DataFrame:
-    """Zones and formats; how many files a zone has is up to the writer."""
-    return inventory.select("zone", "format", (F.col("files") > 0).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"))
+def inventory_facts(spark: SparkSession, base: str) -> DataFrame:
+    """Zones and formats of an inventory, held against the contents and a listing of the same files.
+
+    How many files a zone has is up to the writer. Bytes of CSV and JSON files are those of their lines and
+    line ends; of other files they are the listed ones.
+    """
+    found = lake.lake_inventory(spark, base)
+    lines = spark.read.option("recursiveFileLookup", True).text(base, pathGlobFilter="*.{csv,json}")
+    path = F.col("_metadata.file_path")
+    texts = lines.select(path.alias("path"), (F.octet_length("value") + 1).alias("length"), F.lit(0).alias("files"))
+    listed = file_index.list_files(spark, base).withColumn("files", F.lit(1))
+    is_text = F.col("path").rlike(r"\.(csv|json)$")
+    counted = listed.select("path", F.when(is_text, 0).otherwise(F.col("length")).alias("length"), "files").union(texts)
+    by_zone = lake.zone_and_format(counted, base).groupBy("zone", "format").agg(
+        F.sum("length").alias("counted_bytes"), F.sum("files").alias("counted_files")
+    )
+    return found.join(by_zone, ["zone", "format"], "full").select(
+        "zone",
+        "format",
+        (F.col("files") > 0).alias("has_files"),
+        (F.col("files") - F.col("counted_files")).alias("files_off"),
+        (F.col("bytes") - F.col("counted_bytes")).alias("bytes_off"),
+    )
 
 
 def lake_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inventory_facts(lake.lake_inventory(spark, inputs.lake_files(spark, sf_dir)["base"]))
+    return inventory_facts(spark, inputs.lake_files(spark, sf_dir)["base"])
 
 
 def data_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The inventory, released only when the ingested lake holds enough data files."""
+    """The inventory, released only when the ingested lake holds enough data files; its index lists them."""
     base = inputs.ingested_base(spark, sf_dir)
     if not lake.has_enough_data(spark, f"{base}/raw", 2):
         raise RuntimeError("not enough data files")
-    return inventory_facts(lake.lake_inventory(spark, f"{base}/raw"))
+    return inventory_facts(spark, f"{base}/raw")
 
 
 def unfinished_attempt(spark: SparkSession, sf_dir: str) -> DataFrame:

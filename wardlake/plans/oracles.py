@@ -180,6 +180,7 @@ RATE_TIMELINE = (
     "(SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, COUNT(*) AS messages "
     "FROM events GROUP BY 1)"
 )
+NOTHING_OFF = "TRUE AS has_files, CAST(0 AS BIGINT) AS files_off, CAST(0 AS BIGINT) AS bytes_off"
 REPLAYED_EVENTS = f"(SELECT COUNT(*) FROM events WHERE ts < '{REPLAYED}')"
 
 ORACLES: dict[str, str] = {
@@ -490,11 +491,11 @@ ORACLES: dict[str, str] = {
         f"COUNT(*) AS records FROM {NUMBERED_RAW} WHERE record_no % 101 <> 100"
     ),
     "lake_inventory": (
-        "SELECT 'discharges.' || format AS zone, format, TRUE AS has_files, TRUE AS has_bytes "
+        f"SELECT 'discharges.' || format AS zone, format, {NOTHING_OFF} "
         "FROM (VALUES ('csv'), ('json'), ('parquet')) AS f(format)"
     ),
     "data_gate": (
-        "SELECT zone, format, TRUE AS has_files, TRUE AS has_bytes "
+        f"SELECT zone, format, {NOTHING_OFF} "
         "FROM (VALUES ('csv', 'csv'), ('json', 'json'), ('manifest', 'json')) AS f(zone, format)"
     ),
     "training_sample": "SELECT TRUE AS size_fits, TRUE AS no_repeats, TRUE AS repeatable",

@@ -183,17 +183,22 @@ def has_enough_data(spark: SparkSession, base: str, min_files: int = 3) -> bool:
     return files_below(spark, base).filter(_is_data(F.col("path"))).limit(min_files).count() >= min_files
 
 
-def lake_inventory(spark: SparkSession, base: str) -> DataFrame:
-    """Files and bytes by zone (folder directly below `base`) and format, without placeholders."""
+def zone_and_format(files: DataFrame, base: str) -> DataFrame:
+    """Files with their zone, the folder directly below `base`, and their format, the suffix of the name."""
     suffix = F.regexp_extract("path", r"\.([A-Za-z0-9]+)$", 1)
     # the path of a file is the scheme, the base and what lies below it
     start = re.sub(r"^[a-zA-Z0-9]+:/+", "", unquote(base).rstrip("/")).lstrip("/") + "/"
     below = F.col("path").substr(F.locate(start, "path") + F.lit(len(start)), F.length("path"))
     zone = F.when(below.contains("/"), F.substring_index(below, "/", 1))
+    return files.withColumns({"zone": zone, "format": suffix})
+
+
+def lake_inventory(spark: SparkSession, base: str) -> DataFrame:
+    """Files and bytes by zone (folder directly below `base`) and format, without placeholders."""
+    files = files_below(spark, base).filter(~F.col("path").endswith(PLACEHOLDER_SUFFIX))
     return (
-        files_below(spark, base)
-        .filter(~F.col("path").endswith(PLACEHOLDER_SUFFIX))
-        .groupBy(zone.alias("zone"), suffix.alias("format"))
+        zone_and_format(files, base)
+        .groupBy("zone", "format")
         .agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
         .orderBy("zone", "format")
     )
