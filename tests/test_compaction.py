@@ -6,6 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from wardlake.plans import inputs
 from wardlake.sources import file_index, lake
 from wardlake.streaming import ingest
 
@@ -185,3 +186,23 @@ def test_without_an_index_the_folder_is_listed(spark, folder):
     assert sizes(file_index.files_below(spark, folder)) == on_disk(folder)
     assert file_index.refresh(spark, folder) == len(on_disk(folder))
     assert sizes(file_index.files_below(spark, folder)) == on_disk(folder)
+
+
+def test_packed_batches_are_compacted_as_packed_files(spark, folder):
+    for batch in range(2):
+        ingest.write_batch(records(spark, 10, 10 * batch), batch, folder, JUNE, compression="gzip")
+    before = held(spark, folder)
+    assert ingest.compact(spark, folder, compression="gzip") == 2
+    assert held(spark, folder) == before == held(spark, folder, "csv") and len(before) == 20
+    assert lake.load_raw(spark, f"{folder}/raw", records(spark, 1).schema).count() == 20
+    names = [name for _, _, names in os.walk(local(f"{folder}/raw")) for name in names if "/manifest/" not in name]
+    assert not [n for n in names if n.endswith(".csv")] and [n for n in names if n.endswith(".json.gz")]
+    # an inventory goes by the format of the contents
+    formats = {(r.zone, r.format) for r in lake.lake_inventory(spark, f"{folder}/raw").collect()}
+    assert formats == {("csv", "csv"), ("json", "json"), ("manifest", "json")}
+
+
+def test_the_registered_compaction_takes_less_room_than_its_records(spark, sf_dir):
+    for base in inputs.compacted(spark, sf_dir).values():
+        sizes = file_index.files_below(spark, f"{base}/raw").collect()
+        assert not [f.path for f in sizes if f.path.endswith(".csv") or "/raw/json/" in f.path and f.path.endswith(".json")]

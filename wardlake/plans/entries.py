@@ -71,7 +71,7 @@ def over_lake(fmt: str, declared: str | None = None) -> Query:
     """Scan of the whole lake file in a format, with the declared schema."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        path = inputs.lake_files(spark, sf_dir)[fmt]
+        path = inputs.LAKE_FILES[fmt](spark, sf_dir)
         schema = None if fmt == "parquet" else RAW_SCHEMA
         return file_facts(lake.read_lake(spark, path, declared or fmt, schema))
 
@@ -79,7 +79,7 @@ def over_lake(fmt: str, declared: str | None = None) -> Query:
 
 
 def inferred_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return file_facts(lake.read_lake(spark, inputs.lake_files(spark, sf_dir)["csv"]))
+    return file_facts(lake.read_lake(spark, inputs.LAKE_FILES["csv"](spark, sf_dir)))
 
 
 def lake_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,8 +87,7 @@ def lake_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lake_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = inputs.lake_files(spark, sf_dir)
-    frames = [lake.read_lake(spark, files[f], f, RAW_SCHEMA) for f in ("csv", "json")]
+    frames = [lake.read_lake(spark, inputs.LAKE_FILES[f](spark, sf_dir), f, RAW_SCHEMA) for f in ("csv", "json")]
     return file_facts(lake.union_files(frames))
 
 
@@ -101,8 +100,8 @@ def main_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 def inventory_facts(spark: SparkSession, base: str) -> DataFrame:
     """Zones and formats of an inventory, held against the contents and a listing of the same files.
 
-    How many files a zone has is up to the writer. Bytes of CSV and JSON files are those of their lines and
-    line ends; of other files they are the listed ones.
+    How many files a zone has is up to the writer. Bytes of plain CSV and JSON files are those of their lines
+    and line ends; of other and of compressed files they are the listed ones.
     """
     found = lake.lake_inventory(spark, base)
     lines = spark.read.option("recursiveFileLookup", True).text(base, pathGlobFilter="*.{csv,json}")
@@ -449,7 +448,7 @@ def request_split(decoded: DataFrame) -> DataFrame:
 
 
 def view_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = inputs.lake_files(spark, sf_dir)["parquet"]
+    path = inputs.LAKE_FILES["parquet"](spark, sf_dir)
     query.create_view(spark, "discharge_view", path, "parquet")
     return query.query_view(
         spark,
@@ -460,14 +459,14 @@ def view_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def file_query(fmt: str, sql: str, limit: int | None = None) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        path = inputs.lake_files(spark, sf_dir)[fmt]
+        path = inputs.LAKE_FILES[fmt](spark, sf_dir)
         return query.query_file(spark, path, sql, "auto", limit, RAW_SCHEMA if fmt == "csv" else None)
 
     return run
 
 
 def file_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return query.describe(spark, inputs.lake_files(spark, sf_dir)["parquet"], "parquet")
+    return query.describe(spark, inputs.LAKE_FILES["parquet"](spark, sf_dir), "parquet")
 
 
 def free_sql(spark: SparkSession, sf_dir: str) -> DataFrame:

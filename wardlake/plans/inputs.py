@@ -49,6 +49,10 @@ FROM {discharges}
 
 # Micro-batch size of the registered streams; files are as many as the input's partitions.
 BATCH_BYTES = str(64 << 20)
+# The text copies of the discharges are several times as large as their tables and compress well.
+TEXT_CODEC = "gzip"
+# A task reads at least a row group: small ones let all cores share the files of one micro-batch.
+MESSAGE_FILES = {"compression": "zstd", "parquet.block.size": str(8 << 20)}
 TOPIC = "discharges"
 
 
@@ -78,14 +82,34 @@ def processed_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @once_per_application
+def lake_base(spark: SparkSession, sf_dir: str) -> str:
+    return scratch_path(spark, "lake")
+
+
+def lake_file(fmt: str) -> Callable[[SparkSession, str], str]:
+    """The folder of the raw relation in one format, so that a scan of it needs no others."""
+
+    @once_per_application
+    def build(spark: SparkSession, sf_dir: str) -> str:
+        path = f"{lake_base(spark, sf_dir)}/discharges.{fmt}"
+        raw = raw_discharges(spark, sf_dir)
+        if fmt == "csv":
+            export_csv(raw, path, TEXT_CODEC)
+        elif fmt == "json":
+            raw.write.options(ignoreNullFields=False, compression=TEXT_CODEC).json(path)
+        else:
+            raw.write.parquet(path)
+        return path
+
+    return build
+
+
+LAKE_FILES = {fmt: lake_file(fmt) for fmt in ("csv", "json", "parquet")}
+
+
 def lake_files(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """The raw relation as CSV, JSON Lines and Parquet files; folder by format."""
-    base = scratch_path(spark, "lake")
-    raw = raw_discharges(spark, sf_dir)
-    export_csv(raw, f"{base}/discharges.csv")
-    raw.write.option("ignoreNullFields", False).json(f"{base}/discharges.json")
-    raw.write.parquet(f"{base}/discharges.parquet")
-    return {fmt: f"{base}/discharges.{fmt}" for fmt in ("csv", "json", "parquet")} | {"base": base}
+    return {fmt: build(spark, sf_dir) for fmt, build in LAKE_FILES.items()} | {"base": lake_base(spark, sf_dir)}
 
 
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,9 +156,9 @@ def damaged_lake(spark: SparkSession, sf_dir: str) -> str:
     base = scratch_path(spark, "attempts")
     raw = raw_discharges(spark, sf_dir)
     for batch in (0, 1):
-        write_batch(raw.filter(F.col("record_id") % 2 == batch), batch, base)
+        write_batch(raw.filter(F.col("record_id") % 2 == batch), batch, base, compression=TEXT_CODEC)
     folder = f"{base}/raw/json/year=1999/month=01/batch_id=2"
-    raw.write.option("ignoreNullFields", False).json(folder)
+    raw.write.options(ignoreNullFields=False, compression=TEXT_CODEC).json(folder)
     return base
 
 
@@ -146,7 +170,7 @@ def reordered_files(spark: SparkSession, sf_dir: str) -> list[str]:
     paths = []
     for part, names in enumerate((raw.columns, raw.columns[::-1])):
         own = raw.filter(F.col("record_id") % 2 == part).select(*names)
-        paths.append(export_csv(own, f"{base}/part{part}.csv"))
+        paths.append(export_csv(own, f"{base}/part{part}.csv", TEXT_CODEC))
     return paths
 
 
@@ -168,9 +192,9 @@ def _ingest(spark: SparkSession, sf_dir: str):
         F.timestamp_seconds(number + 1_704_067_200).alias("timestamp"),
     )
     for half in (0, 1):
-        write_messages(sent.filter(number % 2 == half), TOPIC, "parquet", path=f"{base}/{TOPIC}")
+        write_messages(sent.filter(number % 2 == half), TOPIC, "parquet", path=f"{base}/{TOPIC}", **MESSAGE_FILES)
         messages = read_stream(spark, "parquet", path=f"{base}/{TOPIC}", maxBytesPerTrigger=BATCH_BYTES)
-        query = with_progress(spark, base, lambda: ingest(messages, base, drain=True))
+        query = with_progress(spark, base, lambda: ingest(messages, base, drain=True, compression=TEXT_CODEC))
     return base, query
 
 
@@ -221,11 +245,12 @@ def compacted(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     for state in ("before", "during", "after"):
         states[state] = f"{base}/{state}"
         for batch in range(4):
-            write_batch(raw.filter(F.col("record_id") % 4 == batch), batch, states[state], COMPACTED_AT)
+            part = raw.filter(F.col("record_id") % 4 == batch)
+            write_batch(part, batch, states[state], COMPACTED_AT, compression=TEXT_CODEC)
     # what a compaction that died before its manifest row leaves behind
-    copy = raw.write.option("ignoreNullFields", False)
+    copy = raw.write.options(ignoreNullFields=False, compression=TEXT_CODEC)
     copy.json(f"{states['during']}/raw/json/year=2024/month=03/batch_id=compact-unfinished")
-    compact(spark, states["after"])
+    compact(spark, states["after"], compression=TEXT_CODEC)
     return states
 
 
@@ -237,8 +262,8 @@ def unsaved_csv(spark: SparkSession, sf_dir: str) -> str:
     """An ingest of which one batch has no CSV copy."""
     base = scratch_path(spark, "unsaved")
     raw = raw_discharges(spark, sf_dir)
-    write_batch(raw.filter("record_id % 3 <> 0"), 0, base)
-    write_batch(raw.filter("record_id % 3 = 0"), 1, base, formats=("json",))
+    write_batch(raw.filter("record_id % 3 <> 0"), 0, base, compression=TEXT_CODEC)
+    write_batch(raw.filter("record_id % 3 = 0"), 1, base, formats=("json",), compression=TEXT_CODEC)
     return base
 
 

@@ -184,8 +184,11 @@ def has_enough_data(spark: SparkSession, base: str, min_files: int = 3) -> bool:
 
 
 def zone_and_format(files: DataFrame, base: str) -> DataFrame:
-    """Files with their zone, the folder directly below `base`, and their format, the suffix of the name."""
-    suffix = F.regexp_extract("path", r"\.([A-Za-z0-9]+)$", 1)
+    """Files with their zone, the folder directly below `base`, and their format, the suffix of the name.
+
+    The format of a compressed file is that of its contents.
+    """
+    suffix = F.regexp_extract("path", rf"\.([A-Za-z0-9]+)(?:\.(?:{PACKED.replace(',', '|')}))?$", 1)
     # the path of a file is the scheme, the base and what lies below it
     start = re.sub(r"^[a-zA-Z0-9]+:/+", "", unquote(base).rstrip("/")).lstrip("/") + "/"
     below = F.col("path").substr(F.locate(start, "path") + F.lit(len(start)), F.length("path"))
@@ -204,7 +207,7 @@ def lake_inventory(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-def export_csv(df: DataFrame, path: str) -> str:
-    """Write a result as CSV with a header."""
-    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+def export_csv(df: DataFrame, path: str, compression: str = "none") -> str:
+    """Write a result as CSV with a header, plain or compressed."""
+    df.write.mode("overwrite").options(**CSV_OPTIONS, compression=compression).csv(path)
     return path

@@ -49,11 +49,12 @@ def write_batch(
     at: dt.datetime | None = None,
     error_count: int = 0,
     formats: tuple[str, ...] = ("json", "csv"),
+    compression: str = "none",
 ) -> None:
     """Write one batch as JSON Lines and CSV with a manifest row. Empty batches leave no trace.
 
     The records are read twice; persist them first if they are costly to compute. Without "csv" among
-    the formats the batch has no CSV copy, as if it had failed.
+    the formats the batch has no CSV copy, as if it had failed. `compression` is that of both copies.
     """
     at = at or dt.datetime.now(dt.timezone.utc)
     if records.isEmpty() and not error_count:
@@ -62,11 +63,12 @@ def write_batch(
     json_path = batch_folder("json", batch_id, at)
     csv_path = batch_folder("csv", batch_id, at)
     counted = records.observe(seen, F.count("*").alias("rows"))
-    counted.write.mode("overwrite").option("ignoreNullFields", False).json(f"{base}/{json_path}")
+    copy = counted.write.mode("overwrite").options(ignoreNullFields=False, compression=compression)
+    copy.json(f"{base}/{json_path}")
     csv_saved = False
     try:
         if "csv" in formats:
-            export_csv(records, f"{base}/{csv_path}")
+            export_csv(records, f"{base}/{csv_path}", compression)
             csv_saved = True
     except Exception as error:  # the JSON copy is the one that counts
         logger.warning("batch %s has no CSV copy: %s", batch_id, error)
@@ -96,6 +98,7 @@ def ingest(
     drain: bool = False,
     batch_age: str = BATCH_AGE,
     prefix: str = "",
+    compression: str = "none",
 ) -> StreamingQuery:
     """Start the ingest of a message stream into `base`.
 
@@ -111,7 +114,7 @@ def ingest(
             errors = bad.count()
             if errors:
                 bad.write.mode("overwrite").json(f"{base}/quarantine/batch_id={prefix}{batch_id}")
-            write_batch(good, f"{prefix}{batch_id}", base, error_count=errors)
+            write_batch(good, f"{prefix}{batch_id}", base, error_count=errors, compression=compression)
         finally:
             parsed.unpersist()
 
@@ -161,7 +164,11 @@ def _records(spark: SparkSession, base: str, fmt: str, schema: T.StructType, man
 
 
 def compact(
-    spark: SparkSession, base: str, least_records: int | None = None, schema: T.StructType | None = None
+    spark: SparkSession,
+    base: str,
+    least_records: int | None = None,
+    schema: T.StructType | None = None,
+    compression: str = "none",
 ) -> int:
     """Rewrite the batches of each month as one batch of few files; returns how many were replaced.
 
@@ -217,7 +224,7 @@ def compact(
         rows = reader.json(path) if fmt == "json" else reader.options(**CSV_OPTIONS, enforceSchema=False).csv(path)
         rows = rows.withColumn("month", F.lpad("month", 2, "0")).join(own.drop("csv_saved"), list(FOLDER_PARTS), "left_semi")
         parts = rows.select(*data, "year", "month", batch.alias("batch_id")).hint("rebalance", "year", "month")
-        writer = parts.write.mode("append").partitionBy(*FOLDER_PARTS)
+        writer = parts.write.mode("append").option("compression", compression).partitionBy(*FOLDER_PARTS)
         if fmt == "json":
             writer.option("ignoreNullFields", False).json(path)
         else:
