@@ -179,3 +179,11 @@ def test_a_model_that_cannot_be_planned_has_errors_only(spark, features, folder)
     missing = PipelineModel([SQLTransformer(statement="SELECT *, no_such_column AS prediction FROM __THIS__")])
     scored = scoring.score_isolated(features, {"missing": missing}, folder)
     assert scored.filter("error IS NULL").count() == 0 and scored.count() == features.count()
+
+
+def test_many_rows_train_in_even_tasks_and_one_target_after_the_other(spark):
+    rows = spark.range(1_000).withColumnRenamed("id", "record_id").coalesce(1)
+    dealt = training.spread(rows, 100)
+    assert dealt.rdd.getNumPartitions() == 10 and dealt.exceptAll(rows).isEmpty() and dealt.count() == 1_000
+    assert training.spread(rows, 1_000).rdd.getNumPartitions() == 1
+    assert [training.targets_at_once(n, 3) for n in (0, 900_000, 9_000_000)] == [3, 3, 1]
