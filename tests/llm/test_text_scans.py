@@ -314,3 +314,14 @@ def test_threshold_follows_the_trusted_documents(spark, documents):
     got = quality.quality(documents(rows), labels, buckets=256).collect()
     assert {r.doc_id for r in got if r.kept} == set(range(60))
     assert {r.doc_id for r in quality.quality(documents(rows), labels, threshold=-9.0).collect() if r.kept} >= set(range(60))
+
+
+def test_every_trusted_document_is_a_target(spark):
+    labels = spark.range(50_000).selectExpr("id % 25000 AS doc_id", "1 AS quality")
+    ids = quality.target_ids(labels.unionByName(spark.createDataFrame([(None, 1), (30_000, 0)], labels.schema)))
+    assert ids.count() == 25_000 and {r.half for r in ids.select("half").distinct().collect()} == {0, 1}
+    values = spark.range(1_001).selectExpr("CAST(id AS DOUBLE) / 8 - 20 AS v")
+    expected = values.agg(F.percentile("v", F.lit(0.013))).first()[0]
+    found = spark.range(1).select(quality.quantile_of(values, "v", 0.013).alias("q")).first().q
+    assert found == pytest.approx(expected)
+    assert spark.range(1).select(quality.quantile_of(values.limit(0), "v", 0.013).alias("q")).first().q is None

@@ -7,13 +7,12 @@ in lower case, is hashed to a bucket, and a pair to a bucket by the buckets of i
 cut into words once: its counts and the buckets of its words are written to the shared folder, and both
 the models and the ratios are made from these.
 Every document at or above the threshold is kept; nothing is sampled at random. Unless one is given, the
-threshold is the exact quantile `QUANTILE` of the ratios of the target documents that pass the base
+threshold is the exact quantile `QUANTILE` of the ratios of all target documents that pass the base
 rules, less `MARGIN`. For this each half of them is judged by the model of the other half, as a document
 that a model was fitted on scores higher than clean ones it has not seen.
 
-The target model is fitted on at most `target_rows` labelled documents, those with the smallest
-hash of their id; the corpus counts cover every document. Counts go to `buckets` hash buckets, so
-both models are bounded tables of that many rows.
+The target model is fitted on every trusted document, the corpus counts cover every document. Counts
+go to `buckets` hash buckets, so both models are bounded tables of that many rows.
 
 Defined cases: null, empty and blank texts have no words, fail the base rules and score 0. Repeated
 rows are judged alike and all returned. Without any target document the ratio is 0 everywhere.
@@ -27,12 +26,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardlake.llm.common import stored
+from wardlake.llm.common import broadcast_if_small, stored
+from wardlake.operators.percentiles import with_exact_percentiles
 
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 BUCKETS = 1 << 14
-TARGET_ROWS = 20_000
 QUANTILE = 0.01
 MARGIN = 0.02
 SMOOTHING = 1.0
@@ -126,11 +125,19 @@ def base_counts(docs: DataFrame, doc_id: str, text: str, buckets: int) -> DataFr
     ).drop("runs", "ordered")
 
 
-def target_ids(labels: DataFrame, target_rows: int) -> DataFrame:
-    """Ids and half of the trusted documents the target model is fitted on: at most `target_rows`."""
+def target_ids(labels: DataFrame) -> DataFrame:
+    """Ids and half of the trusted documents, which the target model is fitted on."""
     good = labels.filter("quality = 1 and doc_id is not null").select("doc_id").distinct()
     half = F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)).cast("int").alias("half")
-    return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(target_rows).select("doc_id", half)
+    return good.select("doc_id", half)
+
+
+def quantile_of(rows: DataFrame, value: str, q: float) -> Column:
+    """The exact quantile of all values, in even passes; null where there are none."""
+    keyed = stored(rows.select(F.lit(0).alias("all"), value), "quality-unseen")
+    report = keyed.groupBy("all").agg(F.count("*").alias("rows"))
+    found = with_exact_percentiles(report, keyed, ["all"], value, {"quantile": q}, bounded=True)
+    return found.agg(F.max("quantile")).scalar()
 
 
 def ratio_table(coded: DataFrame, buckets: int) -> DataFrame:
@@ -169,14 +176,13 @@ def quality(
     text: str = "text",
     threshold: float | None = None,
     buckets: int = BUCKETS,
-    target_rows: int = TARGET_ROWS,
 ) -> DataFrame:
     """One row per document: base counts, base_failed, the ratio per gram, and kept.
 
     `labels` has doc_id and quality (1: trusted).
     """
-    ids = target_ids(labels, target_rows)
-    halves = F.broadcast(ids.select(F.col("doc_id").alias("id"), "half"))  # bounded by target_rows
+    ids = stored(target_ids(labels), "quality-targets")
+    halves = broadcast_if_small(ids.select(F.col("doc_id").alias("id"), "half"))
     counted = stored(base_counts(docs, doc_id, text, buckets).join(halves, "id", "left"), "quality-words")
     model = stored(ratio_table(counted, buckets), "quality-model")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
@@ -193,13 +199,12 @@ def quality(
     )
     # written, so that a filter on the result is not moved into the array functions above
     scored = stored(scored, "quality")
-    if threshold is None:  # at most target_rows documents; repeated ones count once
+    if threshold is None:  # repeated documents count once
         own = counted.filter(F.col("half").isNotNull() & ~failed)
         own = own.withColumn("others", model.select("model.others").scalar())
         unseen = mean_weight(F.col("codes"), F.get("others", F.col("half")), buckets)
         own = own.groupBy("id").agg(F.min(unseen).alias("unseen"))
-        least = F.percentile("unseen", F.lit(QUANTILE)) - F.lit(MARGIN)
-        limit = own.agg(F.coalesce(least, F.lit(0.0))).scalar()
+        limit = F.coalesce(quantile_of(own, "unseen", QUANTILE) - F.lit(MARGIN), F.lit(0.0))
     else:
         limit = F.lit(threshold)
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= limit))
