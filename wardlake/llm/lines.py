@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 
 from wardlake.llm.common import broadcast_if_small, stored
 from wardlake.llm.cuckoo import Cuckoo, buckets_for
-from wardlake.llm.flat import parts
+from wardlake.llm.flat import parts, release_memory
 
 LEAST = 20
 MIN_DOCS = 3
@@ -73,6 +73,7 @@ def _post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             halves = np.frombuffer(b"".join(keys), ">i8").astype(np.int64).reshape(-1, 2)
             ids = batch.column("doc_id").take(pa.array(rows, pa.int64()))
             yield pa.RecordBatch.from_arrays([ids, pa.array(halves[:, 0]), pa.array(halves[:, 1])], ["doc_id", *KEY])
+    release_memory()
 
 
 def postings_of(docs: DataFrame) -> DataFrame:
