@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from wardlake.llm import neardup, paragraphs
 from wardlake.llm.flat import split_words
-from wardlake.llm.graph import components
+from wardlake.llm.graph import components, joined_components
 
 
 def shingles(text, n):
@@ -48,6 +48,26 @@ def test_components_of_chains_stars_and_pairs(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.mark.parametrize("nodes", [0, 1000])
+def test_components_alike_broadcast_or_shuffled(spark, nodes):
+    links = [(i, i + 1) for i in range(30)] + [(50, 40), (60, 50), (70, 71)]
+    random.Random(5).shuffle(links)
+    got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long"), nodes).collect()}
+    assert got == {i: 0 for i in range(31)} | {40: 40, 50: 40, 60: 40, 70: 70, 71: 70}
+
+
+def test_more_links_join_known_components(spark):
+    """The links of the second comparison go by the components that they join, not by all links once more."""
+    draw = random.Random(11)
+    first = [(draw.randrange(300), draw.randrange(300)) for _ in range(120)]
+    for more in ([], [(draw.randrange(400), draw.randrange(400)) for _ in range(60)]):
+        frames = [spark.createDataFrame(part, "a long, b long") for part in (first, more)]
+        both = components(frames[0].union(frames[1])).collect()
+        got = {r.node: r.component for r in joined_components(components(frames[0]), frames[1]).collect()}
+        named = {n for link in more for n in link} - {r.node for r in both}
+        assert got == {r.node: r.component for r in both} | {n: n for n in named}
+
+
 def test_near_duplicates_equal_brute_force(spark, documents):
     random.seed(7)
     base, hub = prose(120), prose(150)
