@@ -211,6 +211,66 @@ def test_every_word_of_a_text_lies_in_a_paragraph():
         assert covered.all()
 
 
+def test_all_paragraphs_are_posted_under_all_bands(spark, documents):
+    random.seed(31)
+    texts = [sentences(12) for _ in range(20)] + [sentences(14).replace(".", "") for _ in range(10)]
+    digests = set()
+    for text in texts:
+        flat = split_words([text])
+        first, behind = paragraphs.bounds(flat, 20)
+        last = behind - paragraphs.SHINGLE + 1
+        digests |= set(paragraphs.digests(paragraphs.runs(flat.hash, paragraphs.SHINGLE), first, last).tolist())
+    posted = paragraphs.postings(documents(enumerate(texts)).select("text"), 20, paragraphs.BANDS, paragraphs.ROWS)
+    keys = {}
+    for key, of in posted.select("key", "class").collect():
+        keys.setdefault(of, set()).add(key)
+    assert set(keys) == digests and {len(k) for k in keys.values()} == {paragraphs.BANDS}
+
+
+def test_similar_paragraphs_join_wherever_they_begin(spark, documents):
+    """Against all pairs of paragraphs; rows may leave out edges that no other paragraph shares."""
+    random.seed(37)
+    docs = []
+    for i in range(30):
+        words = sentences(4).split()
+        for k in range(3):
+            body = list(words)
+            for at in random.sample([0, 1, len(body) - 2, len(body) - 1], k):
+                body[at] = body[at].replace("s", f"t{k}", 1).replace("S", f"T{k}", 1)
+            docs.append((10 * i + k, f"{sentences(random.randint(2, 5))} {' '.join(body)} {sentences(random.randint(2, 5))}"))
+    found = {}
+    for r in paragraphs.repeated_paragraphs(documents(docs)).collect():
+        found.setdefault(r.doc_id, []).append((r.start, r.stop, r.component))
+
+    def listed(text):
+        flat = split_words([text])
+        for first, behind in zip(*paragraphs.bounds(flat, 20)):
+            start, stop = int(flat.start[first]), int(flat.stop[behind - 1])
+            yield start, stop, shingles(text[start:stop], 5)
+
+    def marked(doc, start, stop):
+        return {c for a, b, c in found.get(doc, []) if start <= a and b <= stop and b - a >= 0.7 * (stop - start)}
+
+    every = {i: list(listed(text)) for i, text in docs}
+    pairs = unequal = missed = 0
+    for i in every:
+        for j in (j for j in every if i < j < i // 10 * 10 + 3):
+            for a, b, x in every[i]:
+                for c, d, y in every[j]:
+                    if 10 * len(x & y) >= 8 * len(x | y):
+                        pairs, unequal = pairs + 1, unequal + (x != y)
+                        missed += not marked(i, a, b) & marked(j, c, d)
+    assert unequal > 30 and missed <= 0.02 * pairs
+
+
+def test_edges_that_no_other_paragraph_shares_are_not_marked():
+    body = " ".join(f"v{i}" for i in range(22))
+    good, (a_from, a_to, b_from, b_to) = paragraphs.compared([f"one two {body}", body, "x " * 30], [f"{body} end", body.upper(), "y " * 30], (8, 10))
+    assert good.tolist() == [True, True, False]
+    assert (a_from.tolist(), a_to.tolist()) == ([8, 0], [8 + len(body), len(body)])
+    assert (b_from.tolist(), b_to.tolist()) == ([0, 0], [len(body), len(body)])
+
+
 # pipeline
 
 
